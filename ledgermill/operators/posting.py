@@ -7,6 +7,7 @@ Each rule is a narrow projection: an event row carries an array of legs that
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,8 @@ DEPARTMENT_SALARY_ACCOUNT = {
 DEFAULT_SALARY_ACCOUNT = "6030"
 DESCRIPTION_LENGTH = 120
 
-_ZERO = "cast(0 AS decimal(15,2))"
+_ZERO = "0"
+LEG_COLUMNS = ["account_code", "debit_amount", "credit_amount"]
 
 JOURNAL_COLUMNS = [
     "entry_id",
@@ -41,62 +43,120 @@ JOURNAL_COLUMNS = [
 ]
 
 
-def debit(account: str, amount: str) -> str:
+def debit(account: str, amount: str) -> tuple[str, str, str]:
     """A debit leg; ``account`` and ``amount`` are SQL expressions."""
-    return f"struct({account} AS account_code, round({amount}, 2) AS debit_amount, {_ZERO} AS credit_amount)"
+    return account, f"round({amount}, 2)", _ZERO
 
 
-def credit(account: str, amount: str) -> str:
+def credit(account: str, amount: str) -> tuple[str, str, str]:
     """A credit leg; ``account`` and ``amount`` are SQL expressions."""
-    return f"struct({account} AS account_code, {_ZERO} AS debit_amount, round({amount}, 2) AS credit_amount)"
+    return account, _ZERO, f"round({amount}, 2)"
 
 
-def post(events: DataFrame, ref: str, kind: str, day: str, description: str, *legs: str) -> DataFrame:
-    """Expand each event into its legs, numbered from 1 within the transaction."""
+@dataclass(frozen=True)
+class Transaction:
+    """One balanced transaction an event gives rise to; all parts are SQL expressions."""
+
+    ref: str
+    kind: str
+    day: str
+    description: str
+    legs: tuple[tuple[str, str, str], ...]
+    when: str = "true"
+
+
+def post(events: DataFrame, *transactions: Transaction) -> DataFrame:
+    """Expand each event into the legs of its transactions, in one pass over the events.
+
+    The expanded array holds only account, amounts and two small numbers; texts
+    are picked afterwards, so a query that needs no description never builds one.
+    """
+
+    def leg(t: int, n: int, account: str, debit_amount: str, credit_amount: str) -> str:
+        return (
+            f"named_struct('t', {t}, 'leg', {n}, 'account_code', {account}, "
+            f"'debit_amount', cast({debit_amount} AS decimal(15,2)), 'credit_amount', cast({credit_amount} AS decimal(15,2)))"
+        )
+
+    arrays = []
+    for t, transaction in enumerate(transactions):
+        legs = ", ".join(leg(t, n, *parts) for n, parts in enumerate(transaction.legs, 1))
+        arrays.append(f"if({transaction.when}, array({legs}), array())" if transaction.when != "true" else f"array({legs})")
+
+    def of(part: str) -> str:
+        values = [getattr(transaction, part) for transaction in transactions]
+        if len(values) == 1:
+            return values[0]
+        return "CASE t " + " ".join(f"WHEN {t} THEN {v}" for t, v in enumerate(values)) + " END"
+
+    expanded = arrays[0] if len(arrays) == 1 else f"concat({', '.join(arrays)})"
     return events.selectExpr(
-        f"{ref} AS transaction_ref",
-        f"{kind} AS transaction_type",
-        f"{day} AS entry_date",
-        f"substr({description}, 1, {DESCRIPTION_LENGTH}) AS description",
-        f"posexplode(array({', '.join(legs)})) AS (leg, entry)",
+        *[f"`{c}`" for c in events.columns if c not in ("t", "leg", *LEG_COLUMNS)], f"inline({expanded})"
     ).selectExpr(
-        "transaction_ref || '-' || (leg + 1) AS entry_id",
-        "transaction_ref",
-        "transaction_type",
-        "entry.account_code AS account_code",
-        "entry_date",
-        "cast(entry.debit_amount AS decimal(15,2)) AS debit_amount",
-        "cast(entry.credit_amount AS decimal(15,2)) AS credit_amount",
-        "description",
-        "entry_date AS created_at",
+        f"{of('ref')} || '-' || leg AS entry_id",
+        f"{of('ref')} AS transaction_ref",
+        f"{of('kind')} AS transaction_type",
+        "account_code",
+        f"{of('day')} AS entry_date",
+        "debit_amount",
+        "credit_amount",
+        f"substr({of('description')}, 1, {DESCRIPTION_LENGTH}) AS description",
+        f"{of('day')} AS created_at",
     )
 
 
+REVENUE_ACCOUNT = f"if(invoice_type = 'Subscription', '{SUBSCRIPTION_REVENUE}', '{SERVICES_REVENUE}')"
+
+INVOICE = Transaction(
+    ref="invoice_id",
+    kind="'INVOICE'",
+    day="invoice_date",
+    description="concat('Invoice ', substr(invoice_id, 1, 8), ' — ', invoice_type)",
+    legs=(debit(f"'{RECEIVABLES}'", "total_amount"), credit(REVENUE_ACCOUNT, "total_amount")),
+)
+PAYMENT = Transaction(
+    ref="payment_id",
+    kind="'PAYMENT'",
+    day="payment_date",
+    description="concat('Payment ', substr(payment_id, 1, 8), ' — ', payment_method)",
+    legs=(debit(f"'{CASH}'", "amount"), credit(f"'{RECEIVABLES}'", "amount")),
+)
+VENDOR_BILL = Transaction(
+    ref="bill_id",
+    kind="'VENDOR_BILL'",
+    day="bill_date",
+    description="concat('Bill ', substr(bill_id, 1, 8), ' — ', substr(description, 1, 60))",
+    legs=(debit("expense_code", "amount"), credit(f"'{PAYABLES}'", "amount")),
+)
+BILL_PAYMENT = Transaction(
+    ref="bill_id || '_pmt'",
+    kind="'BILL_PAYMENT'",
+    day="due_date",
+    description="concat('Bill payment ', substr(bill_id, 1, 8))",
+    legs=(debit(f"'{PAYABLES}'", "amount"), credit(f"'{CASH}'", "amount")),
+    when="lower(trim(status)) = 'paid'",
+)
+PAYROLL = Transaction(
+    ref="payroll_id",
+    kind="'PAYROLL_' || upper(pay_type)",
+    day="payment_date",
+    description="concat('Payroll ', substr(payroll_id, 1, 8), ' — ', department, ' (', pay_type, ')')",
+    legs=(
+        debit("salary_account", "gross_pay"),
+        credit(f"'{CASH}'", "net_pay"),
+        credit(f"'{ACCRUED}'", "tax_withheld"),
+    ),
+)
+
+
 def post_invoices_gl(invoices: DataFrame) -> DataFrame:
     """Invoice: receivables against subscription or services revenue."""
-    revenue = f"if(invoice_type = 'Subscription', '{SUBSCRIPTION_REVENUE}', '{SERVICES_REVENUE}')"
-    return post(
-        invoices,
-        "invoice_id",
-        "'INVOICE'",
-        "invoice_date",
-        "concat('Invoice ', substr(invoice_id, 1, 8), ' — ', invoice_type)",
-        debit(f"'{RECEIVABLES}'", "total_amount"),
-        credit(revenue, "total_amount"),
-    )
+    return post(invoices, INVOICE)
 
 
 def post_payments_gl(payments: DataFrame) -> DataFrame:
     """Customer payment: cash against receivables."""
-    return post(
-        payments,
-        "payment_id",
-        "'PAYMENT'",
-        "payment_date",
-        "concat('Payment ', substr(payment_id, 1, 8), ' — ', payment_method)",
-        debit(f"'{CASH}'", "amount"),
-        credit(f"'{RECEIVABLES}'", "amount"),
-    )
+    return post(payments, PAYMENT)
 
 
 def account_code_lookup(df: DataFrame, accounts: DataFrame, id_column: str, code_as: str) -> DataFrame:
@@ -110,17 +170,13 @@ def with_account_ids(legs: DataFrame, accounts: DataFrame) -> DataFrame:
     return legs.join(accounts.select("account_code", "account_id"), "account_code", "left")
 
 
+def _with_expense_code(bills: DataFrame, accounts: DataFrame) -> DataFrame:
+    return account_code_lookup(bills, accounts, "expense_account_id", "expense_code")
+
+
 def post_vendor_bills_gl(bills: DataFrame, accounts: DataFrame) -> DataFrame:
     """Vendor bill: the bill's expense account against payables."""
-    return post(
-        account_code_lookup(bills, accounts, "expense_account_id", "expense_code"),
-        "bill_id",
-        "'VENDOR_BILL'",
-        "bill_date",
-        "concat('Bill ', substr(bill_id, 1, 8), ' — ', substr(description, 1, 60))",
-        debit("expense_code", "amount"),
-        credit(f"'{PAYABLES}'", "amount"),
-    )
+    return post(_with_expense_code(bills, accounts), VENDOR_BILL)
 
 
 def is_paid(status: str | Column) -> Column:
@@ -135,29 +191,12 @@ def select_paid_for_payment(df: DataFrame) -> DataFrame:
 
 def post_bill_payments_gl(bills: DataFrame) -> DataFrame:
     """Paid bill: payables against cash on the due date."""
-    return post(
-        select_paid_for_payment(bills),
-        "bill_id || '_pmt'",
-        "'BILL_PAYMENT'",
-        "due_date",
-        "concat('Bill payment ', substr(bill_id, 1, 8))",
-        debit(f"'{PAYABLES}'", "amount"),
-        credit(f"'{CASH}'", "amount"),
-    )
+    return post(select_paid_for_payment(bills), BILL_PAYMENT)
 
 
 def post_payroll_gl(payroll: DataFrame) -> DataFrame:
     """Payroll: gross pay on the row's salary account against cash (net) and accrued tax."""
-    return post(
-        payroll,
-        "payroll_id",
-        "'PAYROLL_' || upper(pay_type)",
-        "payment_date",
-        "concat('Payroll ', substr(payroll_id, 1, 8), ' — ', department, ' (', pay_type, ')')",
-        debit("salary_account", "gross_pay"),
-        credit(f"'{CASH}'", "net_pay"),
-        credit(f"'{ACCRUED}'", "tax_withheld"),
-    )
+    return post(payroll, PAYROLL)
 
 
 def post_payroll_gl_by_dept(payroll: DataFrame) -> DataFrame:
@@ -170,13 +209,12 @@ def post_payroll_gl_by_dept(payroll: DataFrame) -> DataFrame:
 def build_journal(
     invoices: DataFrame, payments: DataFrame, bills: DataFrame, payroll: DataFrame, accounts: DataFrame
 ) -> DataFrame:
-    """The whole general ledger: all five posting rules, with account ids."""
+    """The whole general ledger with account ids: all five posting rules, each input read once."""
     legs = [
-        post_invoices_gl(invoices),
-        post_payments_gl(payments),
-        post_vendor_bills_gl(bills, accounts),
-        post_bill_payments_gl(bills),
-        post_payroll_gl(payroll),
+        post(invoices, INVOICE),
+        post(payments, PAYMENT),
+        post(_with_expense_code(bills, accounts), VENDOR_BILL, BILL_PAYMENT),
+        post(payroll, PAYROLL),
     ]
     return with_account_ids(reduce(DataFrame.unionByName, legs), accounts).select(*JOURNAL_COLUMNS)
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 2_000_000
 SKETCH_BUCKETS = 64
-KEYS_PER_BUCKET = 128  # so at most 8,192 hot keys are ever reported
-TRACKED_PER_BUCKET = 1_024  # a key above ~0.01 % of all rows is seen
+KEYS_PER_BUCKET = 64  # so at most 4,096 hot keys are ever reported
+TRACKED_PER_BUCKET = 256  # a key above ~0.02 % of all rows is seen
 NULL_SPREAD = 4_096
 
 

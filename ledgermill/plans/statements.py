@@ -15,6 +15,7 @@ from ledgermill.functions.columns import (
     change_percent,
     month_of,
     percent,
+    prior,
     quarter_of,
     row_key,
     running,
@@ -72,7 +73,8 @@ def _calendar(amounts: DataFrame, include_null_month: bool, fill_gaps: bool) ->
     """
     cell = F.when(F.col("account_name").isNotNull(), F.struct("account_name", "amount"))
     months = (
-        amounts.groupBy("entry_month", "account_name")
+        amounts.repartition("entry_month")  # one exchange serves both groupings and the month window
+        .groupBy("entry_month", "account_name")
         .agg(F.sum("amount").cast(AMOUNT).alias("amount"))
         .groupBy("entry_month")
         .agg(F.map_from_entries(F.collect_list(cell)).alias("amounts"))
@@ -164,16 +166,29 @@ def rpt_pl_statement(
     in_year = running(by_month("account_name", "entry_year", extra=("account_type", "account_subtype")))
     revenue = F.sum(F.when(F.col("account_type") == "REVENUE", F.col("period_amount")))
     subtype_key = F.when(F.col("account_type") == "OPEX", _pick("account_subtype", {"SALES_MARKETING": 1, "R&D": 2, "G&A": 3}, 9)).otherwise(9)
+    # The matrix is still partitioned by month, so the month window comes first; then
+    # one exchange by account serves both lags and the year-to-date total.
     pnl = (
-        matrix.withColumn("signed_period_amount", signed("period_amount"))
+        matrix.withColumn("month_revenue", revenue.over(Window.partitionBy("entry_month")))
+        .withColumn("signed_period_amount", signed("period_amount"))
         .withColumn("budget_amount", signed("budget_period_amount"))
+        .withColumns(
+            {
+                "prior_month_amount": prior("signed_period_amount", 1, by_account),
+                "prior_year_same_month_amount": prior("signed_period_amount", 12, by_account),
+            }
+        )
         .withColumn("ytd_cumulative_amount", F.sum("signed_period_amount").over(in_year))
     )
-    pnl = with_variance(pnl, "signed_period_amount", by_account, 1, "prior_month_amount", "mom_variance_abs", "mom_variance_pct")
-    pnl = with_variance(
-        pnl, "signed_period_amount", by_account, 12, "prior_year_same_month_amount", "yoy_variance_abs", "yoy_variance_pct"
-    )
-    pnl = pnl.withColumn("month_revenue", revenue.over(Window.partitionBy("entry_month")))
+    amount = F.col("signed_period_amount")
+
+    def variance(before: str, name: str) -> list[Column]:
+        return [
+            F.col(before),
+            (amount - F.col(before)).alias(f"{name}_variance_abs"),
+            change_percent(amount, F.col(before)).alias(f"{name}_variance_pct"),
+        ]
+
     type_key = _pick("account_type", {"REVENUE": 1, "COGS": 2, "OPEX": 3}, 9)
     return pnl.select(
         "entry_month",
@@ -194,15 +209,11 @@ def rpt_pl_statement(
         "period_amount",
         "signed_period_amount",
         "ytd_cumulative_amount",
-        "prior_month_amount",
-        "mom_variance_abs",
-        "mom_variance_pct",
-        "prior_year_same_month_amount",
-        "yoy_variance_abs",
-        "yoy_variance_pct",
+        *variance("prior_month_amount", "mom"),
+        *variance("prior_year_same_month_amount", "yoy"),
         "budget_amount",
-        (F.col("signed_period_amount") - F.col("budget_amount")).alias("actuals_vs_budget_abs"),
-        change_percent(F.col("signed_period_amount"), F.col("budget_amount")).alias("actuals_vs_budget_pct"),
+        (amount - F.col("budget_amount")).alias("actuals_vs_budget_abs"),
+        change_percent(amount, F.col("budget_amount")).alias("actuals_vs_budget_pct"),
         percent(F.col("period_amount"), F.col("month_revenue")).alias("pct_of_revenue"),
         row_key("entry_month", "account_name").alias("surrogate_key"),
     )
