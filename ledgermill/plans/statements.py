@@ -85,14 +85,10 @@ def _calendar(amounts: DataFrame, include_null_month: bool, fill_gaps: bool) ->
         return months
     upcoming = F.lead("entry_month").over(Window.orderBy(F.col("entry_month").asc_nulls_last()))
     until = F.greatest("entry_month", F.add_months(upcoming, -1))
-    return months.withColumn(
-        "filled",
-        F.explode(
-            F.when(F.col("entry_month").isNull(), F.array(F.lit(None).cast("date"))).otherwise(
-                F.sequence("entry_month", until, F.expr("interval 1 month"))
-            )
-        ),
-    ).select(
+    covered = F.when(F.col("entry_month").isNull(), F.array(F.lit(None).cast("date"))).otherwise(
+        F.sequence("entry_month", "until", F.expr("interval 1 month"))
+    )
+    return months.withColumn("until", until).withColumn("filled", F.explode(covered)).select(
         F.col("filled").alias("entry_month"),
         F.when(F.col("filled") == F.col("entry_month"), F.col("amounts")).alias("amounts"),
     )

@@ -1,0 +1,60 @@
+from pyspark.sql import functions as F
+
+from ledgermill.operators.skew import SKETCH_BUCKETS, hot_keys, salted_left_join
+from tests.conftest import as_list
+
+
+def _frames(spark):
+    # Key 7 holds a third of the right rows; 5 has none; one left key is NULL.
+    right = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("7")).otherwise((100 + F.col("id") % 500).cast("string")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    left = spark.range(700).select(
+        F.when(F.col("id") == 3, F.lit(None).cast("string")).otherwise(F.col("id").cast("string")).alias("k"),
+        (F.col("id") * 10).alias("w"),
+    )
+    return left, right
+
+
+def test_hot_keys_finds_only_the_hot_key(spark):
+    _, right = _frames(spark)
+    assert hot_keys(right, "k", rows_per_task=500) == [("7", 6)]
+    assert hot_keys(right, "k", rows_per_task=100_000) == []
+
+
+def test_salted_join_equals_plain_join(spark):
+    left, right = _frames(spark)
+    plain = left.join(right, "k", "left")
+    salted = salted_left_join(left, right, "k", rows_per_task=500)
+    assert salted.columns == plain.columns
+    assert as_list(salted) == as_list(plain)
+    assert salted.filter("k IS NULL").count() == 1
+    assert salted.filter("k = '5' AND v IS NULL").count() == 1
+
+
+def test_salted_join_with_more_splits_than_rows_of_other_keys(spark):
+    left, right = _frames(spark)
+    # Nearly every key counts as hot, so some split copies stay empty.
+    salted = salted_left_join(left, right, "k", rows_per_task=2)
+    assert as_list(salted) == as_list(left.join(right, "k", "left"))
+
+
+def test_hot_key_rows_are_spread(spark):
+    left, right = _frames(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = salted_left_join(left, right, "k", rows_per_task=100).filter("k = '7'")
+        parts = joined.groupBy(F.spark_partition_id()).count().count()
+        assert parts > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_without_hot_keys_the_plan_is_a_plain_join(spark):
+    left, right = _frames(spark)
+    plan = salted_left_join(left, right, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan
+    assert SKETCH_BUCKETS == 64
