@@ -84,8 +84,11 @@ def fact_invoices(
         rounded_int("discount_pct").alias("discount_pct"),
         F.col("line_total").alias("gross_amount"),
         (amount * share).cast("decimal(28,8)").alias("line_discount_amount"),
-        (amount * (1 - share)).cast("decimal(28,8)").alias("calculated_line_net_amount"),
+        amount.alias("_amount"),
     )
+    details = details.withColumn(
+        "calculated_line_net_amount", (F.col("_amount") - F.col("line_discount_amount")).cast("decimal(28,8)")
+    ).drop("_amount")
     return salted_left_join(headers, details, "invoice_id", rows_per_task)
 
 

@@ -8,11 +8,12 @@ Each rule is a narrow projection: an event row carries an array of legs that
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.functions.frames import union_all
+
 CASH, RECEIVABLES, PAYABLES, ACCRUED = "1010", "1100", "2000", "2100"
 SUBSCRIPTION_REVENUE, SERVICES_REVENUE = "4000", "4100"
 
@@ -216,7 +217,7 @@ def build_journal(
         post(_with_expense_code(bills, accounts), VENDOR_BILL, BILL_PAYMENT),
         post(payroll, PAYROLL),
     ]
-    return with_account_ids(reduce(DataFrame.unionByName, legs), accounts).select(*JOURNAL_COLUMNS)
+    return with_account_ids(union_all(legs), accounts).select(*JOURNAL_COLUMNS)
 
 
 def gl_unbalanced_refs(journal: DataFrame, tolerance: str = "0.01") -> DataFrame:

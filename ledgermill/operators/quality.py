@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.functions.frames import union_all
 from ledgermill.operators.posting import gl_unbalanced_refs as dq_gl_balance  # noqa: F401
 
 # The declared column rules, model by model.
@@ -145,28 +146,24 @@ def dq_orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> Da
     return child.filter(F.col(column).isNotNull()).join(parents, column, "left_anti")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
-def check_not_null(models: dict[str, DataFrame]) -> DataFrame:
+def check_not_null(models: Mapping[str, DataFrame]) -> DataFrame:
     """All declared not-null rules of the given models."""
-    return _union([dq_not_null(models[m], m, cols) for m, cols in NOT_NULL.items() if m in models])
+    return union_all([dq_not_null(models[m], m, cols) for m, cols in NOT_NULL.items() if m in models])
 
 
-def check_unique(models: dict[str, DataFrame]) -> DataFrame:
+def check_unique(models: Mapping[str, DataFrame]) -> DataFrame:
     """All declared uniqueness rules of the given models."""
-    return _union([dq_unique(models[m], m, col) for m, col in UNIQUE.items() if m in models])
+    return union_all([dq_unique(models[m], m, col) for m, col in UNIQUE.items() if m in models])
 
 
-def check_accepted_values(models: dict[str, DataFrame]) -> DataFrame:
+def check_accepted_values(models: Mapping[str, DataFrame]) -> DataFrame:
     """All declared accepted-value rules of the given models."""
-    return _union([dq_accepted_values(models[m], m, c, vals) for (m, c), vals in ACCEPTED.items() if m in models])
+    return union_all([dq_accepted_values(models[m], m, c, vals) for (m, c), vals in ACCEPTED.items() if m in models])
 
 
-def check_orphans(models: dict[str, DataFrame]) -> DataFrame:
+def check_orphans(models: Mapping[str, DataFrame]) -> DataFrame:
     """Orphan count of every foreign key whose two tables are given."""
-    return _union(
+    return union_all(
         [
             dq_orphans(models[child], col, models[parent], key)
             .agg(F.count(F.lit(1)).alias("failures"))

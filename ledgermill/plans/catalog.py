@@ -6,7 +6,7 @@ holds only what it needs. ``QUERIES`` maps a query name to a function of it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,17 +117,40 @@ class Models:
     def rpt_payroll_burn(self) -> DataFrame:
         return marts.rpt_payroll_burn(self.fact_payroll, self.dim_employees)
 
-    def by_name(self) -> dict[str, DataFrame]:
+    def by_name(self) -> Mapping[str, DataFrame]:
         """Every model the quality rules name."""
-        models = {bronze_name(t): self.stg(t) for t in RAW_TABLES}
-        models.update({n: getattr(self, n) for n in MODEL_NAMES})
-        models["fact_vendor_bills"] = with_audit(self.fact_vendor_bills, AS_OF, "silver_inserted_at")
-        return models
+        return NamedModels(self, [*STAGED, *MODEL_NAMES])
 
-    def staged(self) -> dict[str, DataFrame]:
-        return {bronze_name(t): self.stg(t) for t in RAW_TABLES}
+    def staged(self) -> Mapping[str, DataFrame]:
+        return NamedModels(self, list(STAGED))
 
 
+class NamedModels(Mapping):
+    """Models by name, built only when looked up."""
+
+    def __init__(self, models: Models, names: list[str]):
+        self.models = models
+        self.names = names
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        if name in STAGED:
+            return self.models.stg(STAGED[name])
+        df = getattr(self.models, name)
+        return with_audit(df, AS_OF, "silver_inserted_at") if name == "fact_vendor_bills" else df
+
+    def __contains__(self, name: object) -> bool:
+        return name in self.names
+
+    def __iter__(self):
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+
+STAGED = {bronze_name(t): t for t in RAW_TABLES}
 MODEL_NAMES = [
     "dim_accounts",
     "dim_customers",

@@ -48,6 +48,26 @@ CHART_OF_ACCOUNTS = [
 ]
 
 
+# Declared schemas of the parquet tables read here, so that opening one starts no job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def _text(col: str) -> str:
     return f"cast({col} as string)"
 
@@ -60,7 +80,17 @@ class RawTables:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A table spread over all cores when it has fewer splits than there are cores.
+
+        That only happens to small tables (the test files hold one row group each);
+        a large table has many splits and is read as it lies, without a shuffle.
+        """
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
     @cached_property
     def raw_chart_of_accounts(self) -> DataFrame:
@@ -186,7 +216,7 @@ class RawTables:
     def raw_invoices(self) -> DataFrame:
         day = "cast(o_orderdate AS date)"
         return (
-            self.table("orders")
+            self.spread("orders", "o_orderkey")
             .withColumn(
                 "st",
                 F.expr("CASE o_orderkey % 8 WHEN 7 THEN 'Open' WHEN 6 THEN 'Overdue' ELSE 'Paid' END"),
@@ -213,7 +243,7 @@ class RawTables:
         parts = " || '-' || ".join(
             _text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
         )
-        return self.table("lineitem").selectExpr(
+        return self.spread("lineitem", "l_orderkey").selectExpr(
             f"'L' || {parts} AS line_id",
             f"'I' || {_text('l_orderkey')} AS invoice_id",
             f"'P' || {_text('l_partkey')} AS product_id",

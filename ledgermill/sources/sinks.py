@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.functions.frames import union_all
+
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
@@ -53,4 +53,4 @@ def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
