@@ -388,8 +388,22 @@ def q_annual_summary(m: Models) -> DataFrame:
 
 
 def q_unbalanced(m: Models) -> DataFrame:
-    """The posted journal balances, so cash legs are left out to give the check something to find."""
-    return posting.gl_unbalanced_refs(m.stg("raw_journal_entries").filter("account_code <> '1010'"))
+    """Invoices whose header total differs from their lines, checked as debits and credits.
+
+    The posted journal itself always balances (see ``dq_gl_balance``).
+    """
+    nothing = F.lit(0).cast("decimal(15,2)")
+    headers = m.stg("raw_invoices").select(
+        F.col("invoice_id").alias("transaction_ref"),
+        F.col("total_amount").alias("debit_amount"),
+        nothing.alias("credit_amount"),
+    )
+    lines = m.stg("raw_invoice_lines").select(
+        F.col("invoice_id").alias("transaction_ref"),
+        nothing.alias("debit_amount"),
+        F.col("line_total").alias("credit_amount"),
+    )
+    return posting.gl_unbalanced_refs(headers.unionByName(lines))
 
 
 def q_dq_gl_balance(m: Models) -> DataFrame:

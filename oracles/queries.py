@@ -195,7 +195,10 @@ DERIVED = {
         *LEG_MONEY,
     ),
     "build_journal": doubles("raw_journal_entries", *LEG_MONEY),
-    "gl_unbalanced_refs": UNBALANCED.format(source="(SELECT * FROM raw_journal_entries WHERE account_code <> '1010') j"),
+    "gl_unbalanced_refs": UNBALANCED.format(
+        source="(SELECT invoice_id AS transaction_ref, total_amount AS debit_amount, 0 AS credit_amount FROM raw_invoices "
+        "UNION ALL SELECT invoice_id, 0, line_total FROM raw_invoice_lines) j"
+    ),
     "billing_schedule": f"""SELECT subscription_id || '-' || strftime(d, '%Y%m') AS invoice_id, customer_id, subscription_id, product_id,
   'Subscription' AS invoice_type, d AS invoice_date, d + 30 AS due_date, CAST(mrr AS DOUBLE) AS total_amount,
   plan_name || ' -- ' || strftime(d, '%B %Y') AS description, strftime(d, '%B %Y') AS label, d AS created_at FROM ({SCHEDULE}) x""",
