@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgermill.functions.columns import as_doubles, with_audit
 from ledgermill.operators import bronze, dims, facts, posting, quality, schedules
 from ledgermill.plans import annual, marts, serving, statements
+from ledgermill.plans.pipeline import load_bronze
 from ledgermill.schemas import LOAD_KEYS, RAW_TABLES, bronze_name
 from ledgermill.session import scratch_path, tune
 from ledgermill.sources import raw as readers
@@ -228,16 +229,44 @@ def q_write_csv(m: Models) -> DataFrame:
     return readers.read_raw_csv(m.spark, path, "raw_invoices")
 
 
+def _stored(m: Models, name: str, *loads: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Replace one stored table by each load in turn and read what remains by name."""
+    path = scratch_path(m.spark, name)
+    table = f"{name}_{path.rsplit('/', 2)[1]}"
+    for df in loads:
+        sinks.load_replace(df, table, partition_by, path)
+    return readers.ref(m.spark, table)
+
+
 def q_load_replace(m: Models) -> DataFrame:
-    """Replace a payments table twice; the second load is what remains."""
+    """The second load of a payments table is what remains."""
+    raw = m.stg("raw_payments").select("payment_id", "invoice_id", "payment_date", "amount")
+    return _stored(m, "payments", raw, m.fact_payments.select("payment_id", "payment_date", "amount", "payment_method"))
+
+
+def q_load_replace_simple(m: Models) -> DataFrame:
+    """The same by path, without a table name."""
     path = scratch_path(m.spark, "payments")
-    sinks.load_replace_simple(m.stg("raw_payments").select("payment_id", "invoice_id", "payment_date", "amount"), path)
-    sinks.load_replace_simple(
-        m.fact_payments.select("payment_id", "payment_date", "amount", "payment_method"), path
-    )
+    sinks.load_replace_simple(m.stg("raw_payments"), path)
+    sinks.load_replace_simple(m.fact_payments, path)
     return m.spark.read.parquet(path)
 
 
+def q_materialize_table(m: Models) -> DataFrame:
+    """A mart rebuilt as a stored table, partitioned by year."""
+    columns = m.fact_vendor_bills.columns
+    return _stored(m, "fact_vendor_bills", m.fact_vendor_bills, partition_by="bill_year").select(*columns)
+
+
+def q_materialize_incremental(m: Models) -> DataFrame:
+    """A staged table loaded twice from the same source: the second load changes nothing."""
+    root = scratch_path(m.spark, "bronze")
+    raw = {"raw_invoices": m.raw.raw_invoices}
+    for load_ts in ("2001-08-14 06:00:00", "2001-08-15 06:00:00"):
+        loaded = load_bronze(m.spark, raw, root, load_ts, buckets=16)
+    return bronze.stage(loaded["stg_invoices"], "raw_invoices")
+
+
 # -- bronze -------------------------------------------------------------------------
 
 
@@ -423,6 +452,9 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "read_csv_dir": q_read_csv_dir,
     "write_csv": q_write_csv,
     "load_replace": q_load_replace,
+    "load_replace_simple": q_load_replace_simple,
+    "materialize_table": q_materialize_table,
+    "materialize_incremental": q_materialize_incremental,
     "load_counts": lambda m: sinks.load_counts({t: m.stg(t) for t in RAW_TABLES}),
     "run_query": lambda m: serving.records(m.fact_subscriptions),
     **{bronze_name(t): (lambda m, t=t: m.stg(t)) for t in RAW_TABLES},

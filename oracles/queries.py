@@ -299,6 +299,9 @@ SOURCES = {
     "read_csv_dir": f"SELECT 'raw_customers' AS table_name, {N} AS n FROM raw_customers UNION ALL SELECT 'raw_products', {N} FROM raw_products",
     "write_csv": staged("raw_invoices"),
     "load_replace": "SELECT payment_id, payment_date, CAST(amount AS DOUBLE) AS amount, payment_method FROM fact_payments",
+    "load_replace_simple": doubles("fact_payments", "amount"),
+    "materialize_table": doubles("fact_vendor_bills", "amount"),
+    "materialize_incremental": staged("raw_invoices"),
     "load_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, {N} AS n FROM {t}" for t in RAW_TABLES),
     "run_query": "SELECT * REPLACE ("
     + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MRR_MONEY)
