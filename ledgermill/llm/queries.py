@@ -7,10 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import decontam, lang_id, mixing, sharding, simhash
+import public_tokenizers
+
+from ledgermill.llm import decontam, lang_id, line_dedup, lm_score, mixing, quality, sharding, simhash, token_counts, token_files
 from ledgermill.llm.common import documents, learnable
 
 SHARDS = 8
+BYTE_BPE = "byte_bpe_50k.tiktoken"
+MULTI_BPE, MULTI_IDS = "byte_bpe_multi_50k.tiktoken", 50_256
+WORD_BPE = "word_bpe_49k.json"  # drops white space, so words are encoded one by one
+END = 1
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every context limit keeps of all documents."""
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as read back from the files that its ids were written to."""
+    folder = token_files.token_folder(spark)
+    path = public_tokenizers.path(WORD_BPE)
+    token_files.write_token_files(documents(spark, sf_dir), folder, path, by_word=True, end_id=END)
+    return token_files.document_digests(spark, folder)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,12 +59,36 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that stand earlier."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs, least_words=50)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.components(documents(spark, sf_dir), shingle=3, distance=3)
     return found.select("doc_id", simhash.hex64(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict on every document."""
+    found = quality.judge(documents(spark, sf_dir))
+    base = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return found.select(*base, "quality")
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document; a seventh is held out from learning."""
+    learn = learnable("doc_id", 7, 2)
+    docs = documents(spark, sf_dir)
+    path, pattern = public_tokenizers.path(MULTI_BPE), public_tokenizers.PATTERN
+    found = lm_score.score_documents(docs, path, pattern, vocabulary=MULTI_IDS, learn=learn)
+    return found.select(
+        "doc_id", (~learn).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; a fifth is held out from learning."""
     learn = learnable("doc_id", 5, 0)
@@ -55,11 +98,51 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
+    "op6_line_dedup": op6_line_dedup,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
+    "op9_lm_score": op9_lm_score,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # The rule itself instead of the method: all runs that grow from a line until they hold 50 words, either way.
+    "op6_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS position
+  FROM documents
+), trimmed AS (
+  SELECT doc_id, position, raw, trim(raw, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS line,
+         len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS words
+  FROM lines
+), full_lines AS (
+  SELECT *, row_number() OVER w AS seq, sum(words) OVER w AS upto, sum(words) OVER w - words AS before
+  FROM trimmed WHERE words > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY position)
+), runs AS (
+  SELECT doc_id, seq AS first, max(seq) OVER w AS last, sum(words) OVER w AS held, 0 AS way, list(line) OVER w AS content
+  FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION ALL
+  SELECT doc_id, min(seq) OVER w, seq, sum(words) OVER w, 1, list(line) OVER w
+  FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY way, content ORDER BY doc_id, first) AS nth FROM runs WHERE held >= 50
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(first, last)) AS seq FROM placed WHERE nth > 1
+), marked AS (
+  SELECT t.doc_id, t.position, t.raw, g.seq IS NOT NULL AS gone
+  FROM trimmed t LEFT JOIN full_lines f USING (doc_id, position) LEFT JOIN gone g ON g.doc_id = f.doc_id AND g.seq = f.seq
+), joined AS (
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY position) FILTER (NOT gone) AS text, count(*) AS n_lines,
+         count(*) FILTER (gone) AS n_deleted
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(j.text, '') END AS text,
+       coalesce(j.n_lines, 0) AS n_lines, coalesce(j.n_deleted, 0) AS n_deleted
+FROM documents d LEFT JOIN joined j USING (doc_id)
+""",
+}
