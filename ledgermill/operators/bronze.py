@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterable
+from dataclasses import asdict, dataclass, field
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermill.schemas import bronze_columns
 
 BUCKET = "_bucket"
+BATCH_IDS = 1000  # newest batch ids a table remembers
 
 
 def stage(raw: DataFrame, table: str, load_ts: str | None = None) -> DataFrame:
@@ -32,9 +40,9 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 def dedupe_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The newest row per key by ``order``, remaining columns breaking ties.
 
-    A max over a struct rather than a ranking window: the aggregate combines on
-    the map side, so a key repeated in a third of the rows is never sorted in
-    one task.
+    A max over a struct rather than a ranking window: every task first sorts its own
+    rows and reduces them to one per key (a struct has no hash aggregate), so of a key
+    repeated in a third of the rows only one row per task is shuffled.
     """
     rest = [c for c in df.columns if c not in keys]
     ranked = order + [c for c in rest if c not in order]
@@ -43,41 +51,156 @@ def dedupe_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 
 def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    """Rows with the bucket of their key; rows without a whole key, which match nothing, are spread by all columns."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    spread = F.when(whole, F.xxhash64(*keys)).otherwise(F.xxhash64(*df.columns))
+    return df.withColumn(BUCKET, F.pmod(spread, F.lit(buckets)).cast("int"))
 
 
-def _write(df: DataFrame, path: str) -> None:
-    # Rebalance keeps one bucket in few files but lets AQE split an oversized one.
-    (
-        df.hint("rebalance", F.col(BUCKET))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
+@dataclass
+class Version:
+    """One state of an upsert table: the load that holds each bucket's rows, and the newest batches in it."""
+
+    schema: str
+    buckets: int
+    loads: dict[str, str] = field(default_factory=dict)
+    batches: list[str] = field(default_factory=list)
+
+
+class _Versions:
+    """The numbered version files of a table.
+
+    A version is written beside them and renamed into place, so readers see the old
+    state or the new one. Rows of a load are written before its version, and files of a
+    version are never changed, so a driver lost at any point leaves the table as it was.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm = spark._jvm
+        self.folder = f"{path.rstrip('/')}/_versions"
+        at = self.path(self.folder)
+        self.files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(name)
+
+    def latest(self) -> tuple[int, Version | None]:
+        try:
+            names = [s.getPath().getName() for s in self.files.listStatus(self.path(self.folder))]
+        except Py4JJavaError as e:
+            if "FileNotFoundException" not in str(e.java_exception):
+                raise
+            return 0, None
+        numbers = [int(n.removesuffix(".json")) for n in names if n.endswith(".json")]
+        if not numbers:
+            return 0, None
+        stream = self.files.open(self.path(f"{self.folder}/{max(numbers):010d}.json"))
+        try:
+            text = self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return max(numbers), Version(**json.loads(text))
+
+    def add(self, number: int, version: Version) -> None:
+        draft = self.path(f"{self.folder}/{uuid.uuid4().hex}.draft")
+        stream = self.files.create(draft)
+        try:
+            stream.write(bytearray(json.dumps(asdict(version)).encode()))
+        finally:
+            stream.close()
+        target = self.path(f"{self.folder}/{number:010d}.json")
+        if self.files.exists(target) or not self.files.rename(draft, target):
+            raise RuntimeError(f"{self.folder}: another writer added version {number}")
+
+
+def _rows(spark: SparkSession, path: str, version: Version, buckets: Iterable[str] | None = None) -> DataFrame:
+    """The rows of the given buckets (all of them by default)."""
+    schema = T.StructType.fromJson(json.loads(version.schema))
+    wanted = version.loads if buckets is None else [b for b in buckets if b in version.loads]
+    folders = [f"{path.rstrip('/')}/loads/{version.loads[b]}/{BUCKET}={b}" for b in wanted]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def create_table(batch: DataFrame, path: str, keys: list[str], buckets: int = 256) -> None:
-    """First load of an upsert table, laid out by key bucket."""
-    _write(_bucketed(batch, keys, buckets), path)
+    """First load of an upsert table, laid out by key bucket; replaces what is there."""
+    versions = _Versions(batch.sparkSession, path)
+    number, _ = versions.latest()
+    version = Version(batch.schema.json(), buckets)
+    version.loads = _write(_bucketed(batch, keys, buckets), path)
+    versions.add(number + 1, version)
+
+
+def _write(df: DataFrame, path: str) -> dict[str, str]:
+    """Write a load, a folder a bucket, and return which buckets it has."""
+    load = uuid.uuid4().hex
+    folder = f"{path.rstrip('/')}/loads/{load}"
+    # Rebalance keeps one bucket in few files but lets AQE split an oversized one.
+    df.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(folder)
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    names = [s.getPath().getName() for s in found]
+    return {n.split("=")[1]: load for n in names if n.startswith(f"{BUCKET}=")}
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Current rows of an upsert table."""
-    return spark.read.parquet(path).drop(BUCKET)
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return _Versions(spark, path).latest()[1] is not None
 
 
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], buckets: int = 256) -> None:
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Current rows of an upsert table, with its columns only."""
+    version = _Versions(spark, path).latest()[1]
+    if version is None:
+        raise FileNotFoundError(path)
+    return _rows(spark, path, version)
+
+
+def upsert_table(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: list[str],
+    order: list[str] | None = None,
+    batch_id: str | None = None,
+) -> None:
     """Upsert a batch into the table at ``path``, rewriting only touched buckets.
 
-    The table is partitioned by a hash of its key, so a batch names the buckets
-    it can affect (at most ``buckets`` integers reach the driver) and every other
-    bucket is neither read nor written. Files are staged and swapped per
-    partition, and repeating a batch leaves the table as it was.
+    The batch is evaluated once, into a folder of its own by bucket, and everything else
+    reads that folder, so a source that changes between readings cannot mix two states.
+    Buckets the batch does not touch are neither read nor written. With ``order`` the
+    newest row of a key wins, whether it is stored or in the batch; without it the batch
+    does. Rows whose key has a NULL match nothing and are added, so repeating a batch
+    leaves the table as it was only if it has none, or if it carries a ``batch_id``: one
+    that the table has seen already is passed over.
     """
-    batch = _bucketed(batch, keys, buckets)
-    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]
-    if not touched:
+    versions = _Versions(spark, path)
+    number, version = versions.latest()
+    if version is None:
+        raise FileNotFoundError(path)
+    if batch_id is not None and batch_id in version.batches:
         return
-    current = spark.read.schema(batch.schema).parquet(path).filter(F.col(BUCKET).isin(touched))
-    _write(upsert(current, batch, [*keys]), path)
+    staged = f"{path.rstrip('/')}/staged/{uuid.uuid4().hex}"
+    _bucketed(batch, keys, version.buckets).write.partitionBy(BUCKET).parquet(staged)
+    at = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    touched = [n.split("=")[1] for n in (s.getPath().getName() for s in files.listStatus(at)) if "=" in n]
+    if touched:
+        arrived = spark.read.schema(batch.schema).parquet(*[f"{staged}/{BUCKET}={b}" for b in touched])
+        current = _rows(spark, path, version, touched)
+        merged = upsert(current, arrived, keys) if order is None else newest(current, arrived, keys, order)
+        version.loads |= _write(_bucketed(merged, keys, version.buckets), path)
+    if touched or batch_id is not None:
+        version.batches = [*version.batches, *([batch_id] if batch_id is not None else [])][-BATCH_IDS:]
+        versions.add(number + 1, version)
+    files.delete(at, True)
+
+
+def newest(current: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The newest row per key of both by ``order``; rows with a NULL in the key are all kept."""
+    both = current.unionByName(batch)
+    partial = F.lit(False)
+    for k in keys:
+        partial = partial | F.col(k).isNull()
+    return dedupe_latest(both.filter(~partial), keys, order).unionByName(both.filter(partial))

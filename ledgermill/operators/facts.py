@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions.columns import clean_upper, month_of, quarter_of, rounded_int, status_is
-from ledgermill.operators.skew import ROWS_PER_TASK, salted_left_join
 
 
 def _date(as_of: str) -> Column:
@@ -46,13 +45,16 @@ def aging_bucket(status: str, due: str, as_of: str) -> Column:
     )
 
 
-def fact_invoices(
-    invoices: DataFrame, lines: DataFrame, as_of: str, discount_scale: int = 100, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def fact_invoices(invoices: DataFrame, lines: DataFrame, as_of: str, discount_scale: int = 100) -> DataFrame:
     """One row per invoice line; an invoice without lines keeps one row.
 
     ``discount_scale`` is what a full discount looks like in ``discount_pct``
     (100 when it holds percentages). ``invoice_header_total`` repeats per line.
+
+    The left join is put together from an inner join, which adaptive execution can
+    split on either side when one invoice holds a large share of the lines, and the
+    invoices that an anti join against the distinct line keys leaves. The keys are
+    combined on the map side, so a hot invoice is one row there.
     """
     day, due = F.col("invoice_date").cast("date"), F.col("due_date").cast("date")
     headers = invoices.select(
@@ -89,7 +91,10 @@ def fact_invoices(
     details = details.withColumn(
         "calculated_line_net_amount", (F.col("_amount") - F.col("line_discount_amount")).cast("decimal(28,8)")
     ).drop("_amount")
-    return salted_left_join(headers, details, "invoice_id", rows_per_task)
+    booked = headers.join(details, "invoice_id")
+    bare = headers.join(lines.select("invoice_id").distinct(), "invoice_id", "left_anti")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in details.schema.fields if f.name != "invoice_id"]
+    return booked.unionByName(bare.select("*", *missing))
 
 
 def _posted(entries: DataFrame) -> DataFrame:

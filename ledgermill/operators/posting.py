@@ -200,11 +200,20 @@ def post_payroll_gl(payroll: DataFrame) -> DataFrame:
     return post(payroll, PAYROLL)
 
 
+def department_account() -> Column:
+    """Salary account that follows from the department."""
+    pairs = [F.lit(x) for pair in DEPARTMENT_SALARY_ACCOUNT.items() for x in pair]
+    return F.coalesce(F.create_map(*pairs)[F.col("department")], F.lit(DEFAULT_SALARY_ACCOUNT))
+
+
+def with_salary_account(payroll: DataFrame) -> DataFrame:
+    """Payroll with the account on the row, or the department's for files that have none."""
+    return payroll.withColumn("salary_account", F.coalesce("salary_account", department_account()))
+
+
 def post_payroll_gl_by_dept(payroll: DataFrame) -> DataFrame:
     """Older payroll rule: the salary account follows from the department."""
-    pairs = [F.lit(x) for pair in DEPARTMENT_SALARY_ACCOUNT.items() for x in pair]
-    account = F.coalesce(F.create_map(*pairs)[F.col("department")], F.lit(DEFAULT_SALARY_ACCOUNT))
-    return post_payroll_gl(payroll.withColumn("salary_account", account))
+    return post_payroll_gl(payroll.withColumn("salary_account", department_account()))
 
 
 def build_journal(

@@ -1,4 +1,4 @@
-"""Billing, payroll and vendor schedules and the lookups that shape them.
+"""Billing and payroll schedules over given subscriptions, milestones and employees.
 
 Schedules expand each row by an array of dates with ``explode``; nothing is
 joined to a calendar, so expansion is a narrow step on the input's partitions.
@@ -6,39 +6,19 @@ joined to a calendar, so expansion is a narrow step on the input's partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.operators.posting import select_paid_for_payment
 
 MONEY = "decimal(15,2)"
 NET_DAYS = 30
 BONUS_SHARE, BONUS_TAX = "0.25", "0.37"
-ENTERPRISE_MIN_DISCOUNT = "0.10"
-
-# Monthly cost profile of each vendor group and yearly growth.
-BASE_SEASON = [0.82, 0.83, 0.90, 0.90, 0.94, 0.95, 0.98, 1.00, 1.04, 1.08, 1.16, 1.28]
-MARKETING_SEASON = [1.35, 1.15, 1.00, 0.88, 0.84, 0.84, 0.88, 0.94, 1.04, 1.10, 1.22, 1.35]
-LEGAL_SEASON = [1.30, 1.10, 1.05, 0.95, 0.90, 0.90, 0.90, 0.90, 0.95, 1.00, 1.10, 1.25]
-VENDOR_SEASON = {
-    "Amazon Web Services": BASE_SEASON,
-    "Datadog": BASE_SEASON,
-    "HubSpot": MARKETING_SEASON,
-    "LinkedIn": MARKETING_SEASON,
-    "Indeed": MARKETING_SEASON,
-    "Smith & Associates LLP": LEGAL_SEASON,
-}
-YEARLY_GROWTH = {2021: 0.38, 2022: 0.55, 2023: 0.76, 2024: 1.00}
 
 
 def _day(value: str | Column) -> Column:
     return F.lit(value).cast("date") if isinstance(value, str) else value
 
 
-def _decimal(value) -> Column:
-    return F.lit(str(value)).cast("decimal(10,4)")
-
-
 def month_starts(first: Column, last: Column) -> Column:
     """First days of the months from ``first``'s month through ``last``; empty when last is earlier."""
     begin = F.trunc(first, "month")
@@ -105,25 +85,6 @@ def one_off_invoices(milestones: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def payments_from_invoices(invoices: DataFrame, lag: str) -> DataFrame:
-    """A full payment of every paid invoice, ``lag`` days (a column) after its date."""
-    paid_on = F.date_add("invoice_date", F.col(lag))
-    return select_paid_for_payment(invoices).select(
-        F.concat(F.lit("R"), F.substring("invoice_id", 2, 64)).alias("payment_id"),
-        "invoice_id",
-        "customer_id",
-        paid_on.alias("payment_date"),
-        F.col("total_amount").alias("amount"),
-        paid_on.alias("created_at"),
-    )
-
-
-def clamp_subscription_start(df: DataFrame, lag: str, period_end: str, margin_days: int = 60) -> DataFrame:
-    """Start ``lag`` days after creation, but ``margin_days`` before the period ends at the latest."""
-    latest = F.date_sub(_day(period_end), margin_days)
-    return df.withColumn("start_date", F.least(F.date_add("created_at", F.col(lag)), latest))
-
-
 def close_out_subscriptions(subscriptions: DataFrame, churned: DataFrame, period_end: str) -> DataFrame:
     """Set status, end date and update date from the churned subscriptions (id, churn_date)."""
     found = F.col("churn_date").isNotNull()
@@ -142,46 +103,6 @@ def close_out_subscriptions(subscriptions: DataFrame, churned: DataFrame, period
     )
 
 
-def season_factor(vendor: str, month: Column) -> Column:
-    """Monthly cost factor of a vendor; vendors without a profile use the base one."""
-
-    def profile(values: list[float]) -> Column:
-        return F.element_at(F.array(*[_decimal(v) for v in values]), month)
-
-    by_vendor = profile(BASE_SEASON)
-    for name, values in VENDOR_SEASON.items():
-        by_vendor = F.when(F.col(vendor) == name, profile(values)).otherwise(by_vendor)
-    return by_vendor
-
-
-def growth_factor(year: Column, growth: dict[int, float] | None = None) -> Column:
-    """Yearly cost factor; years without one use 1."""
-    pairs = [x for y, g in (growth or YEARLY_GROWTH).items() for x in (F.lit(y), _decimal(g))]
-    return F.coalesce(F.create_map(*pairs)[year], _decimal(1))
-
-
-def vendor_cost_scaling(
-    costs: DataFrame, vendor: str, day: str, amount: str, growth: dict[int, float] | None = None
-) -> DataFrame:
-    """Scale a base monthly cost by the vendor's season and the year's growth."""
-    factor = season_factor(vendor, F.month(day)) * growth_factor(F.year(day), growth)
-    return costs.withColumn("scaled_amount", F.round(F.col(amount) * factor, 2).cast(MONEY))
-
-
-def vendor_bill_schedule(vendors: DataFrame, first_month: str, months: int, offset: str) -> DataFrame:
-    """One bill per vendor and month: dated ``offset`` days into it, due after the vendor's terms."""
-    last = F.add_months(_day(first_month), months - 1)
-    billed_on = F.date_add("bill_month", F.col(offset))
-    return vendors.withColumn("bill_month", F.explode(month_starts(_day(first_month), last))).select(
-        F.concat("vendor_id", F.lit("-"), F.date_format("bill_month", "yyyyMM")).alias("bill_id"),
-        "vendor_id",
-        billed_on.alias("bill_date"),
-        F.date_add(billed_on, F.col("payment_terms_days")).alias("due_date"),
-        F.concat("vendor_name", F.lit(" -- "), F.date_format("bill_month", "MMMM yyyy")).alias("description"),
-        billed_on.alias("created_at"),
-    )
-
-
 def payroll_schedule(employees: DataFrame, first_year: int, last_year: int, raise_rate: str, tax_rate: str) -> DataFrame:
     """Monthly salary rows with a yearly compounding raise; rates are columns.
 
@@ -238,47 +159,3 @@ def december_bonus(schedule: DataFrame) -> DataFrame:
             F.col("pay_period_end").alias("created_at"),
         )
     )
-
-
-def negotiated_discount_band(df: DataFrame, segment: str, price: str, discount: str) -> DataFrame:
-    """Negotiated recurring price: list price for SMB, otherwise less the given discount."""
-    reduced = F.round(F.col(price) * (1 - F.col(discount)), 2)
-    return df.withColumn("mrr", F.when(F.col(segment) == "SMB", F.col(price)).otherwise(reduced).cast(MONEY))
-
-
-def assign_manager(employees: DataFrame, order: str = "employee_id") -> DataFrame:
-    """Everyone reports to the first G&A employee, who reports to nobody."""
-    head = employees.filter(F.col("department") == "G&A").agg(F.min_by("employee_id", order)).scalar()
-    return employees.withColumn("head_id", head).select(
-        *[c for c in employees.columns if c != "manager_id"],
-        F.when(F.col("employee_id") != F.col("head_id"), F.col("head_id")).alias("manager_id"),
-    )
-
-
-def cost_center_tag(employees: DataFrame, order: str = "employee_id", product_engineers: int = 9) -> DataFrame:
-    """Tag cost center and salary account; the first engineers count as product delivery.
-
-    The ranking is limited to ``product_engineers`` rows, which Spark applies in
-    every task before the shuffle, so the department's size does not matter.
-    """
-    ranked = Window.partitionBy("department").orderBy(order)
-    first = (
-        employees.filter(F.col("department") == "Engineering")
-        .select("department", "employee_id", order)
-        .withColumn("n", F.row_number().over(ranked))
-        .filter(F.col("n") <= product_engineers)
-        .select("employee_id", F.lit(True).alias("delivers"))
-    )
-    department, delivers = F.col("department"), F.coalesce("delivers", F.lit(False))
-    account = (
-        F.when(delivers, "5300")
-        .when(department == "Engineering", "6000")
-        .when(department == "Sales", "6010")
-        .when(department == "Customer Success", "6020")
-        .otherwise("6030")
-    )
-    return employees.join(F.broadcast(first), "employee_id", "left").select(
-        *[c for c in employees.columns if c not in ("cost_center", "salary_account")],
-        F.when(delivers, "COGS").otherwise("OPEX").alias("cost_center"),
-        account.alias("salary_account"),
-    )

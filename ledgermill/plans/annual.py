@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.columns import percent
 
-# Invoice types that become columns, and cost-of-revenue accounts.
-INVOICE_TYPES = {"Subscription": "subscription", "Professional Services": "professional_services"}
+# The two revenue lines of the annual summary, and cost-of-revenue accounts.
+SUBSCRIPTION, SERVICES = "Subscription", "Professional Services"
 VENDOR_COGS = ["5000", "5100", "5200"]
 PAYROLL_COGS = "5300"
 
@@ -20,13 +20,24 @@ def _zero(col: str | Column) -> Column:
 
 
 def revenue_by_year_type(invoices: DataFrame) -> DataFrame:
-    """Invoice totals per year with one column per invoice type, 0 where there is none."""
-    by_type = (
-        invoices.groupBy(F.year("invoice_date").alias("year"))
-        .pivot("invoice_type", list(INVOICE_TYPES))
-        .agg(F.sum("total_amount"))
+    """Invoice totals per year with one column per invoice type there is, 0 where a year has none.
+
+    Totals per year and type come first; the types (a column each) are read off those few rows.
+    """
+    totals = invoices.groupBy(F.year("invoice_date").alias("year"), "invoice_type").agg(F.sum("total_amount").alias("total"))
+    by_type = totals.groupBy("year").pivot("invoice_type").agg(F.sum("total"))
+    return by_type.select("year", *[_zero(F.col(f"`{t}`")).alias(t) for t in by_type.columns if t != "year"])
+
+
+def revenue_lines_by_year(invoices: DataFrame) -> DataFrame:
+    """Invoice totals per year of the two revenue lines that the annual summary reports."""
+
+    def line(kind: str, name: str) -> Column:
+        return _zero(F.sum(F.when(F.col("invoice_type") == kind, F.col("total_amount")))).alias(name)
+
+    return invoices.groupBy(F.year("invoice_date").alias("year")).agg(
+        line(SUBSCRIPTION, "subscription"), line(SERVICES, "professional_services")
     )
-    return by_type.select("year", *[_zero(F.col(t)).alias(name) for t, name in INVOICE_TYPES.items()])
 
 
 def payroll_by_year(payroll: DataFrame) -> DataFrame:
@@ -95,7 +106,7 @@ def annual_summary(
     the rows meet.
     """
     parts = [
-        revenue_by_year_type(invoices),
+        revenue_lines_by_year(invoices),
         cogs_by_year(journal),
         payroll_by_year(payroll),
         vendor_spend_by_year(bills),

@@ -7,7 +7,7 @@ shuffle join whose hot fact partitions adaptive execution splits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -94,7 +94,7 @@ def rpt_revenue_summary(invoices: DataFrame, customers: DataFrame, employees: Da
             gross.cast("decimal(24,2)").alias("gross_revenue"),
             F.sum("discounts").cast("decimal(30,8)").alias("total_discounts"),
             F.sum("net").cast("decimal(30,8)").alias("net_revenue"),
-            F.round(gross.cast("decimal(24,2)") / F.nullif(F.sum("n_gross"), F.lit(0)), 6).alias("avg_invoice_amount"),
+            (gross.cast("double") / F.nullif(F.sum("n_gross"), F.lit(0))).alias("avg_invoice_amount"),
         )
     )
 
@@ -139,20 +139,14 @@ def rpt_ar_aging(invoices: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def with_group_totals(rows: DataFrame, *groups: tuple[list[str], list[Column]]) -> DataFrame:
-    """Add per-group aggregates to every row; each group is (keys, aggregates).
+def with_totals(rows: DataFrame, totals: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """Join totals to rows on NULL-safe keys (row column -> totals column).
 
-    Aggregates joined back on their (NULL-safe) keys instead of unordered
-    windows: an aggregate combines on the map side, whereas a window would sort
-    a whole hot group in one task. A small aggregate is broadcast and the rows
-    are not shuffled at all. All aggregates read ``rows`` itself.
+    Totals are aggregates joined back, not unordered windows: an aggregate combines on
+    the map side, whereas a window would sort a whole hot group in one task.
     """
-    result = rows
-    for keys, totals in groups:
-        sums = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*totals)
-        match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        result = result.join(sums, match, "left").drop(*[f"_{k}" for k in keys])
-    return result
+    match = [F.col(k).eqNullSafe(F.col(t)) for k, t in keys.items()]
+    return rows.join(totals, match, "left").drop(*keys.values())
 
 
 def rpt_opex_by_vendor(bills: DataFrame, vendors: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -194,14 +188,22 @@ def rpt_opex_by_vendor(bills: DataFrame, vendors: DataFrame, accounts: DataFrame
             "days_past_due",
         )
     )
-    by_vendor = [
-        F.count("bill_id").alias("bills_this_month_per_vendor"),
-        F.sum("amount").alias("total_spend_this_month_per_vendor"),
-    ]
-    by_account = [F.sum("amount").alias("total_spend_this_month_per_account")]
-    return with_group_totals(
-        rows, (["bill_month", "vendor_id"], by_vendor), (["bill_month", "expense_account_id"], by_account)
+    # Bills are summed once, by the ids on them; both totals roll up from those cells, with
+    # unknown ids as NULL like in the rows.
+    cells = bills.groupBy("bill_month", "vendor_id", "expense_account_id").agg(
+        F.count("bill_id").alias("n"), F.sum("amount").alias("spend")
     )
+    cells = (
+        cells.join(v.select("vendor_id", "known_vendor"), "vendor_id", "left")
+        .join(a.select("expense_account_id", "known_account"), "expense_account_id", "left")
+        .withColumnRenamed("bill_month", "_month")
+    )
+    by_vendor = cells.groupBy("_month", "known_vendor").agg(
+        F.sum("n").alias("bills_this_month_per_vendor"), F.sum("spend").alias("total_spend_this_month_per_vendor")
+    )
+    by_account = cells.groupBy("_month", "known_account").agg(F.sum("spend").alias("total_spend_this_month_per_account"))
+    rows = with_totals(rows, by_vendor, {"bill_month": "_month", "vendor_id": "known_vendor"})
+    return with_totals(rows, by_account, {"bill_month": "_month", "expense_account_id": "known_account"})
 
 
 def rpt_payroll_burn(payroll: DataFrame, employees: DataFrame) -> DataFrame:
@@ -210,12 +212,16 @@ def rpt_payroll_burn(payroll: DataFrame, employees: DataFrame) -> DataFrame:
     Totals group by the department on the payroll row; the reported department
     is the employee's.
     """
-    by_department = [
-        F.sum("gross_pay").alias("dept_gross_pay_this_month"),
-        F.countDistinct("employee_id").alias("dept_headcount_this_month"),
-    ]
-    by_month = [F.sum("gross_pay").alias("total_payroll_this_month")]
-    rows = with_group_totals(payroll, (["pay_month", "department"], by_department), (["pay_month"], by_month))
+    # One pass: pay per employee, rolled up to departments and those to months.
+    per_employee = payroll.groupBy(F.col("pay_month").alias("_month"), F.col("department").alias("_department"), "employee_id").agg(
+        F.sum("gross_pay").alias("gross")
+    )
+    by_department = per_employee.groupBy("_month", "_department").agg(
+        F.sum("gross").alias("dept_gross_pay_this_month"), F.count("employee_id").alias("dept_headcount_this_month")
+    )
+    by_month = by_department.groupBy("_month").agg(F.sum("dept_gross_pay_this_month").alias("total_payroll_this_month"))
+    totals = with_totals(by_department, by_month.withColumnRenamed("_month", "_of"), {"_month": "_of"})
+    rows = with_totals(payroll, totals, {"pay_month": "_month", "department": "_department"})
     e = employees.select(
         "employee_id",
         F.col("employee_id").alias("known_employee"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.functions.columns import as_doubles, with_audit
-from ledgermill.operators import bronze, dims, facts
+from ledgermill.operators import bronze, dims, facts, posting
 from ledgermill.plans import marts, statements
 from ledgermill.schemas import LOAD_KEYS, bronze_name
 from ledgermill.sources.sinks import load_replace
@@ -62,16 +62,28 @@ def gold_models(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def posted_journal(stg: dict[str, DataFrame]) -> DataFrame:
+    """The general ledger posted from staged tables."""
+    return posting.build_journal(
+        stg["stg_invoices"],
+        stg["stg_payments"],
+        stg["stg_vendor_bills"],
+        posting.with_salary_account(stg["stg_payroll"]),
+        stg["stg_chart_of_accounts"],
+    )
+
+
 def load_bronze(spark: SparkSession, raw: dict[str, DataFrame], root: str, load_ts: str, buckets: int = 256) -> dict[str, DataFrame]:
     """Create or upsert every staged table below ``root`` and return their current rows."""
     current = {}
     for table, df in raw.items():
         name, path = bronze_name(table), f"{root}/bronze/{bronze_name(table)}"
         batch = bronze.stage(df, table, load_ts)
-        # An empty dynamic overwrite touches no bucket, so this only creates what is missing.
-        bronze.create_table(batch.limit(0), path, LOAD_KEYS[table], buckets)
-        bronze.upsert_table(spark, path, batch, LOAD_KEYS[table], buckets)
-        current[name] = spark.read.schema(batch.schema).parquet(path)
+        if bronze.table_exists(spark, path):
+            bronze.upsert_table(spark, path, batch, LOAD_KEYS[table])
+        else:  # everything is new: no bucket to read and nothing to compare
+            bronze.create_table(batch, path, LOAD_KEYS[table], buckets)
+        current[name] = bronze.read_table(spark, path)
     return current
 
 
@@ -89,9 +101,13 @@ def build_all(
     """Load bronze, then rebuild silver and gold as stored tables; returns every stored model.
 
     Each layer reads the stored tables of the one before, so nothing is derived
-    twice and a lost executor costs at most the running write.
+    twice and a lost executor costs at most the running write. Without
+    ``raw_journal_entries`` the ledger is posted from the staged tables.
     """
     stg = load_bronze(spark, raw, root, load_ts, buckets)
+    if "stg_journal_entries" not in stg:
+        journal = {"raw_journal_entries": posted_journal(stg)}
+        stg |= load_bronze(spark, journal, root, load_ts, buckets)
     silver = {n: with_audit(df, load_ts, "silver_inserted_at") for n, df in silver_models(stg, as_of).items()}
     silver = store_models(spark, silver, "silver", root)
     gold = {

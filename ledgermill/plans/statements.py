@@ -64,34 +64,16 @@ def account_spine(accounts: DataFrame, types: list[str]) -> DataFrame:
     ).distinct()
 
 
-def _calendar(amounts: DataFrame, include_null_month: bool, fill_gaps: bool) -> DataFrame:
-    """One row per ledger month carrying that month's amounts by account name.
-
-    The map holds one entry per account, so its size follows the chart of
-    accounts and not the ledger. Carrying the amounts along with the month means
-    the calendar needs no second pass over the ledger.
-    """
-    cell = F.when(F.col("account_name").isNotNull(), F.struct("account_name", "amount"))
-    months = (
-        amounts.repartition("entry_month")  # one exchange serves both groupings and the month window
-        .groupBy("entry_month", "account_name")
-        .agg(F.sum("amount").cast(AMOUNT).alias("amount"))
-        .groupBy("entry_month")
-        .agg(F.map_from_entries(F.collect_list(cell)).alias("amounts"))
-    )
-    if not include_null_month:
-        months = months.filter(F.col("entry_month").isNotNull())
-    if not fill_gaps:
-        return months
-    upcoming = F.lead("entry_month").over(Window.orderBy(F.col("entry_month").asc_nulls_last()))
-    until = F.greatest("entry_month", F.add_months(upcoming, -1))
-    covered = F.when(F.col("entry_month").isNull(), F.array(F.lit(None).cast("date"))).otherwise(
-        F.sequence("entry_month", "until", F.expr("interval 1 month"))
-    )
-    return months.withColumn("until", until).withColumn("filled", F.explode(covered)).select(
-        F.col("filled").alias("entry_month"),
-        F.when(F.col("filled") == F.col("entry_month"), F.col("amounts")).alias("amounts"),
-    )
+def _calendar(amounts: DataFrame, include_null_month: bool, fill_gaps: bool) -> Column:
+    """All ledger months as one array, at most twelve a year; the NULL month comes last if there is one."""
+    months = amounts.select("entry_month").distinct()
+    known = F.array_sort(F.collect_set("entry_month"))
+    if fill_gaps:
+        known = F.when(F.count("entry_month") > 0, F.sequence(F.min("entry_month"), F.max("entry_month"), F.expr("interval 1 month"))).otherwise(known)
+    if include_null_month:
+        nothing = F.array(F.lit(None).cast("date"))
+        known = F.when(F.count("entry_month") < F.count(F.lit(1)), F.concat(known, nothing)).otherwise(known)
+    return months.agg(known).scalar()
 
 
 def month_account_matrix(
@@ -104,16 +86,17 @@ def month_account_matrix(
 ) -> DataFrame:
     """Every ledger month x every account of ``types`` with its amount or 0.
 
-    This product is the report itself (months x accounts). Amounts are matched
-    by account name; the NULL month matches nothing and stays at 0.
+    This product is the report itself (months x accounts): every account carries the
+    array of months and is expanded by it, and the sums join on month and account name.
+    The NULL month matches nothing and stays at 0.
     """
     if amount_types is not None:
         # Keep every month, but only amounts of the wanted types.
         amounts = amounts.withColumn("amount", F.when(F.col("account_type").isin(amount_types), F.col("amount")))
     calendar = _calendar(amounts, include_null_month, fill_gaps)
-    month = F.col("entry_month")
-    found = F.when(month.isNotNull(), F.col("amounts")[F.col("account_name")])
-    return calendar.crossJoin(account_spine(accounts, types)).select(
+    cells = account_spine(accounts, types).withColumn("months", calendar).withColumn("entry_month", F.explode("months"))
+    sums = amounts.groupBy("entry_month", "account_name").agg(F.sum("amount").cast(AMOUNT).alias("amount"))
+    return cells.join(sums, ["entry_month", "account_name"], "left").select(
         "entry_month",
         quarter_of("entry_month").alias("entry_quarter"),
         F.year("entry_month").alias("entry_year"),
@@ -121,7 +104,7 @@ def month_account_matrix(
         "account_type",
         "account_subtype",
         "account_name",
-        F.coalesce(found, F.lit(0).cast(AMOUNT)).alias("period_amount"),
+        F.coalesce("amount", F.lit(0).cast(AMOUNT)).alias("period_amount"),
     )
 
 
@@ -162,8 +145,7 @@ def rpt_pl_statement(
     in_year = running(by_month("account_name", "entry_year", extra=("account_type", "account_subtype")))
     revenue = F.sum(F.when(F.col("account_type") == "REVENUE", F.col("period_amount")))
     subtype_key = F.when(F.col("account_type") == "OPEX", _pick("account_subtype", {"SALES_MARKETING": 1, "R&D": 2, "G&A": 3}, 9)).otherwise(9)
-    # The matrix is still partitioned by month, so the month window comes first; then
-    # one exchange by account serves both lags and the year-to-date total.
+    # One exchange by account serves both lags and the year-to-date total.
     pnl = (
         matrix.withColumn("month_revenue", revenue.over(Window.partitionBy("entry_month")))
         .withColumn("signed_period_amount", signed("period_amount"))

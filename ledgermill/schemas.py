@@ -21,7 +21,8 @@ RAW_DDL = {
     ),
     "raw_employees": (
         "employee_id string, first_name string, last_name string, department string, role string, "
-        f"salary {MONEY}, hire_date date, is_active boolean, created_at date, manager_id string"
+        f"salary {MONEY}, hire_date date, is_active boolean, created_at date, manager_id string, "
+        "cost_center string, salary_account string"
     ),
     "raw_vendors": (
         "vendor_id string, vendor_name string, vendor_category string, payment_terms_days int, "
@@ -51,7 +52,7 @@ RAW_DDL = {
     "raw_payroll": (
         "payroll_id string, employee_id string, department string, pay_period_start date, "
         f"pay_period_end date, gross_pay {MONEY}, tax_withheld {MONEY}, net_pay {MONEY}, "
-        "payment_date date, pay_type string, created_at date"
+        "payment_date date, pay_type string, created_at date, cost_center string, salary_account string"
     ),
     "raw_journal_entries": (
         "entry_id string, transaction_ref string, transaction_type string, account_id string, "
@@ -60,6 +61,12 @@ RAW_DDL = {
     ),
 }
 
+# Columns that only the revised files have.
+OPTIONAL = {
+    "raw_employees": ("cost_center", "salary_account"),
+    "raw_payroll": ("cost_center", "salary_account"),
+}
+
 # Upsert key of each load, in the order the tables are loaded.
 LOAD_KEYS = {
     "raw_chart_of_accounts": ["account_id"],

@@ -21,12 +21,12 @@ RUNTIME_CONF = {
     # Skip the sort of a shuffle join when every build partition, as measured after
     # the shuffle, is small; larger ones stay sort-merge joins.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
 # Fixed at start-up, so only sessions built here have them.
 STATIC_CONF = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     # The report plans compile more than the default hundred stages.
     "spark.sql.codegen.cache.maxEntries": "1000",
@@ -44,20 +44,26 @@ def build_session(app_name: str = "ledgermill", master: str | None = None, **con
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings that the session's owner has left open."""
+    chosen = spark.conf.getAll
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if key not in chosen:
+            spark.conf.set(key, value)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (single-machine tests) a local temporary
-    folder is created and remembered on the session.
+    Where none is named, a session on one machine gets a temporary folder, remembered
+    on the session; on a cluster that is an error, since no executor would see the files
+    of another.
     """
     configured = spark.conf.get("spark.checkpoint.dir", "")
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgermill-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
@@ -66,3 +72,27 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for one written intermediate."""
     return f"{shared_dir(spark).rstrip('/')}/ledgermill/{uuid.uuid4().hex}/{name}"
+
+
+def _file(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, at = _file(spark, path)
+    return files.exists(at)
+
+
+def fingerprint(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Size and time of change of a file or folder; (0, 0) where there is none."""
+    files, at = _file(spark, path)
+    if not files.exists(at):
+        return 0, 0
+    return files.getContentSummary(at).getLength(), files.getFileStatus(at).getModificationTime()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate that nothing reads any more."""
+    files, at = _file(spark, path)
+    files.delete(at, True)

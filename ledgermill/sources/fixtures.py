@@ -82,16 +82,6 @@ class RawTables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def spread(self, name: str, key: str) -> DataFrame:
-        """A table spread over all cores when it has fewer splits than there are cores.
-
-        That only happens to small tables (the test files hold one row group each);
-        a large table has many splits and is read as it lies, without a shuffle.
-        """
-        df = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
     @cached_property
     def raw_chart_of_accounts(self) -> DataFrame:
         # An inline relation, so the planner knows its exact (28-row) size.
@@ -216,7 +206,7 @@ class RawTables:
     def raw_invoices(self) -> DataFrame:
         day = "cast(o_orderdate AS date)"
         return (
-            self.spread("orders", "o_orderkey")
+            self.table("orders")
             .withColumn(
                 "st",
                 F.expr("CASE o_orderkey % 8 WHEN 7 THEN 'Open' WHEN 6 THEN 'Overdue' ELSE 'Paid' END"),
@@ -225,7 +215,7 @@ class RawTables:
                 f"'I' || {_text('o_orderkey')} AS invoice_id",
                 f"'C' || {_text('o_custkey')} AS customer_id",
                 f"CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE 'S' || {_text('o_custkey')} END AS subscription_id",
-                f"'E' || {_text('o_orderkey % 10')} AS sales_rep_id",
+                f"'E' || {_text('o_orderkey % 40')} AS sales_rep_id",
                 "CASE WHEN o_orderpriority = '1-URGENT' THEN 'Professional Services' ELSE 'Subscription' END AS invoice_type",
                 f"{day} AS invoice_date",
                 f"date_add({day}, 30) AS due_date",
@@ -243,7 +233,7 @@ class RawTables:
         parts = " || '-' || ".join(
             _text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
         )
-        return self.spread("lineitem", "l_orderkey").selectExpr(
+        return self.table("lineitem").selectExpr(
             f"'L' || {parts} AS line_id",
             f"'I' || {_text('l_orderkey')} AS invoice_id",
             f"'P' || {_text('l_partkey')} AS product_id",

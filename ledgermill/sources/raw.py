@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.schemas import RAW_TABLES, raw_schema
+from ledgermill.schemas import OPTIONAL, RAW_TABLES, raw_schema
+from ledgermill.sources.sinks import load_replace
 
 # Text that an inferring reader takes for a missing value.
 NULL_TOKENS = (
@@ -35,15 +36,24 @@ NULL_TOKENS = (
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One raw table with its declared schema; empty is NULL, ``N/A`` stays text."""
-    return (
-        spark.read.schema(raw_schema(table))
-        .option("header", True)
-        .option("nullValue", "")
-        .option("dateFormat", "yyyy-MM-dd")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    """One raw table with its declared schema; empty is NULL, ``N/A`` stays text.
+
+    Columns are bound by the names in the header, in whatever order they come. A header
+    with a missing or unknown column is an error; the columns that only the revised files
+    have (``OPTIONAL``) may be missing and are NULL then.
+    """
+    declared = raw_schema(table)
+    options = {"header": True, "nullValue": "", "dateFormat": "yyyy-MM-dd"}
+    header = spark.read.options(**options).csv(path).columns
+    optional = OPTIONAL.get(table, ())
+    missing = [c for c in declared.names if c not in header and c not in optional]
+    unknown = [c for c in header if c not in declared.names]
+    if missing or unknown:
+        raise ValueError(f"{path}: {table} lacks {missing} and has unknown {unknown}")
+    present = T.StructType([declared[c] for c in header])
+    # enforceSchema=False makes every file prove that its header is the one read above.
+    df = spark.read.schema(present).options(**options, enforceSchema=False, mode="FAILFAST").csv(path)
+    return df.select(*[F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in declared])
 
 
 def nullify(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
@@ -92,6 +102,18 @@ def read_csv_dir(spark: SparkSession, folder: str, skip: tuple[str, ...] = ()) -
     }
 
 
+def load_csv_dir(
+    spark: SparkSession, folder: str, schema: str, root: str, skip: tuple[str, ...] = ()
+) -> dict[str, DataFrame]:
+    """Replace one stored table ``schema.<name>`` for every CSV of ``folder``; returns the stored tables."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    names = []
+    for name, df in read_csv_dir(spark, folder, skip).items():
+        load_replace(df, f"{schema}.{name}", path=f"{root.rstrip('/')}/{name}")
+        names.append(name)
+    return {name: source(spark, schema, name) for name in names}
+
+
 def read_raw_dir(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All declared raw tables found as ``<folder>/<table>.csv``."""
     return {table: read_raw_csv(spark, f"{folder.rstrip('/')}/{table}.csv", table) for table in RAW_TABLES}

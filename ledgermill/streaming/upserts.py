@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ledgermill.operators.bronze import create_table, dedupe_latest, upsert_table
+from ledgermill.operators.bronze import create_table, table_exists, upsert_table
 
 
 def read_file_stream(
@@ -25,18 +25,17 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Upsert every micro-batch into the table at ``path`` and stop when the input is drained.
 
-    Within a batch the newest row per key wins; across batches the later batch
-    does. A batch repeated after a failure leaves the same table.
+    The newest row per key by ``order`` wins, within a batch and across batches, so an
+    event that arrives late never replaces a newer one. Rows with a NULL in the key are
+    all kept. The table remembers the batches it holds, and one that is repeated after a
+    failure is passed over.
     """
     spark = stream.sparkSession
-    create_table(spark.createDataFrame([], stream.schema), path, keys, buckets)
+    if not table_exists(spark, path):
+        create_table(spark.createDataFrame([], stream.schema), path, keys, buckets)
 
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        newest = dedupe_latest(batch, keys, order).persist()
-        try:
-            upsert_table(batch.sparkSession, path, newest, keys, buckets)
-        finally:
-            newest.unpersist()
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        upsert_table(batch.sparkSession, path, batch, keys, order, f"{checkpoint}#{batch_id}")
 
     return (
         stream.writeStream.foreachBatch(apply)
@@ -49,7 +48,11 @@ def stream_upsert(
 def stream_dedupe(
     stream: DataFrame, keys: list[str], event_time: str, delay: str, path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Append the first row of every key, remembering keys for ``delay`` of event time."""
+    """Append the first row of every key, remembering keys for ``delay`` of event time.
+
+    Rows later than the watermark are dropped by the engine and counted in the query's
+    progress (``numRowsDroppedByWatermark``).
+    """
     return (
         stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
         .withWatermark(event_time, delay)

@@ -74,7 +74,7 @@ SELECT 'S' || CAST(k AS STRING) AS subscription_id, 'C' || CAST(k AS STRING) AS
     "raw_invoices": """
 SELECT 'I' || CAST(o_orderkey AS STRING) AS invoice_id, 'C' || CAST(o_custkey AS STRING) AS customer_id,
   CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE 'S' || CAST(o_custkey AS STRING) END AS subscription_id,
-  'E' || CAST(o_orderkey % 10 AS STRING) AS sales_rep_id,
+  'E' || CAST(o_orderkey % 40 AS STRING) AS sales_rep_id,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'Professional Services' ELSE 'Subscription' END AS invoice_type,
   CAST(o_orderdate AS DATE) AS invoice_date, CAST(o_orderdate AS DATE) + 30 AS due_date,
   CASE WHEN o_orderkey % 25 = 0 THEN lower(st) WHEN o_orderkey % 26 = 0 THEN upper(st) WHEN o_orderkey % 27 = 0 THEN st || ' ' ELSE st END AS status,

@@ -80,11 +80,16 @@ def test_discount_rounds_to_int_but_is_used_exactly(rows):
     assert share.line_discount_amount == Decimal("2.5")
 
 
-def test_hot_invoice_gives_the_same_fact(models):
-    plain = models.fact_invoices
-    salted = facts.fact_invoices(models.stg("raw_invoices"), models.stg("raw_invoice_lines"), AS_OF, rows_per_task=3)
-    assert salted.columns == plain.columns
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+def test_invoices_with_and_without_lines_in_one_plan_without_a_job(spark, models):
+    invoices, lines = models.stg("raw_invoices"), models.stg("raw_invoice_lines").filter("invoice_id <> 'I8'")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    got = facts.fact_invoices(invoices, lines, AS_OF)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert got.count() == invoices.join(lines, "invoice_id", "left").count()
+    assert got.filter("invoice_id = 'I8'").count() == 1 and got.filter("invoice_id = 'I8' AND product_id IS NULL").count() == 1
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan and "LeftAnti" in plan
 
 
 ENTRY = (

@@ -62,23 +62,7 @@ def test_payroll_schedule_raise_and_bonus(rows):
     assert bonus.payroll_id == "E1-200112-BONUS"
 
 
-def test_vendor_scaling_profiles(rows):
-    costs = rows(
-        "vendor string, day date, amount decimal(15,2)",
-        "('HubSpot', '2021-01-05', 1000), ('Nobody', '2024-12-05', 1000), ('Smith & Associates LLP', '2022-01-05', 1000), ('Datadog', '2030-03-05', 1000)",
-    )
-    got = schedules.vendor_cost_scaling(costs, "vendor", "day", "amount")
-    assert as_set(got, "vendor", "scaled_amount") == {
-        ("HubSpot", Decimal("513.00")),
-        ("Nobody", Decimal("1280.00")),
-        ("Smith & Associates LLP", Decimal("715.00")),
-        ("Datadog", Decimal("900.00")),
-    }
-
-
-def test_start_clamp_and_close_out(rows):
-    df = rows("created_at date, lag int", "('2001-01-01', 10), ('2001-07-30', 10)")
-    assert as_set(schedules.clamp_subscription_start(df, "lag", "2001-08-31"), "start_date") == {(date(2001, 1, 11),), (date(2001, 7, 2),)}
+def test_close_out(rows):
     subs = rows(SUBS, "('a', 'C', 'P', 'x', 'Active', 1, NULL, NULL, NULL, NULL), ('b', 'C', 'P', 'x', 'Active', 1, NULL, NULL, NULL, NULL)")
     churned = rows("subscription_id string, churn_date date", "('b', '2001-03-01')")
     got = schedules.close_out_subscriptions(subs, churned, "2001-08-31")
@@ -89,26 +73,6 @@ def test_start_clamp_and_close_out(rows):
     }
 
 
-def test_cost_centers_and_manager(spark):
-    people = spark.range(30).selectExpr(
-        "concat('E', lpad(id, 2, '0')) AS employee_id", "CASE WHEN id < 20 THEN 'Engineering' WHEN id < 25 THEN 'G&A' ELSE 'Sales' END AS department"
-    )
-    tagged = schedules.cost_center_tag(people)
-    assert as_set(tagged.filter("cost_center = 'COGS'"), "employee_id", "salary_account") == {(f"E0{i}", "5300") for i in range(9)}
-    assert as_set(tagged.filter("employee_id IN ('E10', 'E22', 'E29')"), "salary_account") == {("6000",), ("6030",), ("6010",)}
-    plan = tagged._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan  # only nine rows per task are shuffled
-    managed = schedules.assign_manager(people)
-    assert as_set(managed, "manager_id") == {("E20",), (None,)}
-    assert as_set(managed.filter("manager_id IS NULL"), "employee_id") == {("E20",)}
-
-
-def test_discount_band(rows):
-    df = rows("segment string, price decimal(15,2), d decimal(4,2)", "('SMB', 99, 0.20), ('Mid-Market', 99.99, 0.05), ('Enterprise', 100, 0.25)")
-    assert as_set(schedules.negotiated_discount_band(df, "segment", "price", "d"), "segment", "mrr") == {
-        ("SMB", Decimal("99.00")), ("Mid-Market", Decimal("94.99")), ("Enterprise", Decimal("75.00"))}
-
-
 def test_annual_summary_identities(models):
     m = models
     args = [m.stg(t) for t in ("raw_invoices", "raw_payroll", "raw_vendor_bills", "raw_subscriptions", "raw_journal_entries")]
@@ -125,6 +89,14 @@ def test_churn_counts_the_exact_status_only(rows):
     assert tuple(annual.churn_summary(df).first()) == (1, 4, Decimal("25.0"))
 
 
-def test_pivot_fills_zero(rows):
-    df = rows("invoice_date date, invoice_type string, total_amount decimal(15,2)", "('2000-01-01', 'Subscription', 5), ('2001-01-01', 'Professional Services', 7)")
-    assert as_set(annual.revenue_by_year_type(df).select("year", F.col("subscription").cast("int"), F.col("professional_services").cast("int"))) == {(2000, 5, 0), (2001, 0, 7)}
+def test_pivot_has_every_type_and_fills_zero(rows):
+    df = rows(
+        "invoice_date date, invoice_type string, total_amount decimal(15,2)",
+        "('2000-01-01', 'Subscription', 5), ('2001-01-01', 'Professional Services', 7), ('2001-01-01', 'Set.up', 9)",
+    )
+    got = annual.revenue_by_year_type(df)
+    assert set(got.columns) == {"year", "Subscription", "Professional Services", "Set.up"}
+    assert as_set(got.selectExpr("year", "cast(Subscription AS int)", "cast(`Professional Services` AS int)", "cast(`Set.up` AS int)")) == {
+        (2000, 5, 0, 0),
+        (2001, 0, 7, 9),
+    }

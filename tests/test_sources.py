@@ -36,6 +36,38 @@ def test_declared_read_keeps_na_and_inferred_read_drops_it(spark, tmp_path):
     }
 
 
+def test_columns_are_bound_by_name(spark, tmp_path):
+    path = tmp_path / "raw_products.csv"
+    path.write_text(
+        "created_at,product_name,product_id,unit_price,product_category,description,is_active\n2001-01-02,Seat,P1,9.50,Subscription,x,true\n"
+    )
+    got = raw.read_raw_csv(spark, str(path), "raw_products")
+    assert got.columns == raw_schema("raw_products").names
+    assert as_set(got, "product_id", "product_name", "product_category") == {("P1", "Seat", "Subscription")}
+    for text in ("product_id\nP1\n", path.read_text().replace("description", "colour")):
+        path.write_text(text)
+        with pytest.raises(ValueError):
+            raw.read_raw_csv(spark, str(path), "raw_products")
+
+
+def test_both_forms_of_the_employee_file(spark, tmp_path):
+    path = tmp_path / "raw_employees.csv"
+    head = "employee_id,first_name,last_name,department,{}role,salary,hire_date,is_active,created_at,manager_id\n"
+    row = "E1,Ann,Lee,Engineering,{}Lead,100,2001-01-02,true,2001-01-02,\n"
+    path.write_text(head.format("cost_center,salary_account,") + row.format("COGS,5300,"))
+    assert as_set(raw.read_raw_csv(spark, str(path), "raw_employees"), "role", "cost_center", "salary_account") == {("Lead", "COGS", "5300")}
+    path.write_text(head.format("") + row.format(""))
+    assert as_set(raw.read_raw_csv(spark, str(path), "raw_employees"), "role", "cost_center", "salary_account") == {("Lead", None, None)}
+
+
+def test_folder_becomes_stored_tables(spark, tmp_path):
+    for name in ("aisles", "orders"):
+        (tmp_path / f"{name}.csv").write_text("id,v\n1,a\n2,b\n")
+    for _ in range(2):
+        got = raw.load_csv_dir(spark, str(tmp_path), "folder", scratch_path(spark, "folder"), skip=("orders",))
+    assert list(got) == ["aisles"] and raw.source(spark, "folder", "aisles").count() == 2
+
+
 def test_malformed_declared_csv_fails(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text("account_id,account_code,account_name,account_type,account_subtype,is_active\nA1,1010,Cash,Asset,x,maybe\n")
@@ -64,6 +96,36 @@ def test_load_replace_and_counts(spark):
     assert as_set(sinks.load_counts({"a": df, "b": df.limit(0)})) == {("a", 100), ("b", 0)}
 
 
+def test_without_a_shared_folder_a_cluster_is_refused():
+    class Conf:
+        def __init__(self, master):
+            self.values = {"spark.master": master}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(Session(master))
+    assert shared_dir(Session("local[2]"))
+
+
+def test_settings_that_the_session_chose_stay(spark):
+    from ledgermill.session import tune
+
+    key, before = "spark.sql.adaptive.forceOptimizeSkewedJoin", spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin")
+    spark.conf.set(key, "false")
+    assert tune(spark).conf.get(key) == "false"
+    spark.conf.set(key, before)
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

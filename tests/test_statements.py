@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgermill.operators import dims, facts
 from ledgermill.plans import serving, statements
-from tests.conftest import as_list, as_set
+from ledgermill.sources.fixtures import RawTables
+from tests.conftest import SMALL, as_list, as_set
 
 ACCOUNT = "account_id string, account_code string, account_name string, account_type string, account_subtype string, is_active boolean"
 ENTRY = (
@@ -164,9 +165,23 @@ def test_cash_flow_total_is_the_cash_balance(models):
     assert total == serving.kpis_cash_balance(models.rpt_balance_sheet).first().cash_balance == Decimal("206509926.24")
 
 
-def test_ledger_is_read_once(models):
-    plan = models.rpt_pl_statement._jdf.queryExecution().optimizedPlan().toString()
-    # orders: invoices, payments and the payroll months; lineitem: bills once.
-    assert plan.count("l_extendedprice#") > 0
-    scans = [x for x in plan.splitlines() if "Relation [l_orderkey" in x]
-    assert len(scans) == 1
+def test_stored_models_are_read_and_not_derived_again(models):
+    for name in ("rpt_pl_statement", "rpt_opex_by_vendor", "rpt_payroll_burn", "fact_journal_entries"):
+        plan = getattr(models, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "l_orderkey" not in plan
+
+
+def test_posting_reads_every_table_once(spark):
+    raw = RawTables(spark, SMALL)
+    plan = raw.raw_journal_entries._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Relation [l_orderkey" in x]) == 1
+
+
+def test_matrix_is_neither_a_cross_nor_a_nested_loop_join(spark, models):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for report in (statements.rpt_pl_statement, statements.rpt_balance_sheet):
+            plan = report(models.ledger_months, models.dim_accounts)._jdf.queryExecution().executedPlan().toString()
+            assert "NestedLoop" not in plan and "Cartesian" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

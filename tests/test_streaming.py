@@ -27,6 +27,9 @@ def test_upsert_across_batches_and_restart(spark, tmp_path):
     assert run() == {("x", 2), ("y", 3)}
     _write(spark, folder, "b", "('y', '2001-01-03 00:00:00', 30), ('z', '2001-01-03 00:00:00', 40)")
     assert run() == {("x", 2), ("y", 30), ("z", 40)}
+    # An older event in a later batch does not replace a newer one.
+    _write(spark, folder, "c", "('y', '2001-01-02 00:00:00', 31), ('z', '2001-01-01 00:00:00', 41)")
+    assert run() == {("x", 2), ("y", 30), ("z", 40)}
     # A restart with nothing new must not lose the table.
     assert run() == {("x", 2), ("y", 30), ("z", 40)}
 
