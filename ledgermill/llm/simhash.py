@@ -257,7 +257,8 @@ def components(
     """
     marks = fingerprints(docs.select(col(key).alias("key"), col(text).alias("text")), "text", shingle)
     marks = store(marks.select(F.struct(F.col("key").isNull().alias("none"), "key").alias("who"), "fingerprint"), "fingerprints")
-    of_all = classes(marks, distance, spare)
+    # Stored, so that the last join stands alone and a fingerprint of very many copies can be split.
+    of_all = store(classes(marks, distance, spare), "classes")
     return marks.join(of_all, "fingerprint").select(
         F.col("who.key").alias(key), "fingerprint", F.col("component.key").alias("component_id")
     )
