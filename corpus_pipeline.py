@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgermill.llm import decontam, lang_id, mixing, sharding, simhash
 from ledgermill.llm.common import documents, learnable, store
 
-SURE = 0.4  # least score of a language that is kept; four languages by chance give 0.25
+SURE = 0.3  # least score of a language that is kept; chance among four languages is 0.25
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
