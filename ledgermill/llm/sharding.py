@@ -24,7 +24,8 @@ class Permutation:
 
     Values that leave the range are sent through the network again until they are inside.
     There are fewer than ``left`` pairs outside, about the square root of ``rows``; the
-    longest chain of them, ``walks``, is measured, so no row needs more steps than are taken.
+    longest chain of them that a value from inside enters, ``walks``, is measured, so no
+    row needs more steps than are taken. (Chains that nothing enters may be loops.)
     """
 
     rows: int
@@ -38,7 +39,9 @@ class Permutation:
         left = max(1, math.isqrt(max(0, rows - 1)) + 1)
         right = max(1, -(-rows // left))
         shape = cls(rows, seed, left, right, 0)
-        outside = spark.range(rows, left * right).withColumnRenamed("id", "x")
+        outside = spark.range(rows, left * right).withColumn("x", F.col("id"))
+        entered = shape.network(outside, "x", True).filter(F.col("x") < rows)
+        outside = entered.select(F.col("id").alias("x"))
         while not outside.isEmpty():
             outside = store(shape.network(outside, "x", False).filter(F.col("x") >= rows), "outside")
             shape.walks += 1
