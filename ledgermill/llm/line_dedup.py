@@ -111,7 +111,8 @@ def drop_repeated_lines(
     marked, mine = free_name(docs, "mask"), free_name(docs, "line_doc")
     gone = store(gone.select(F.col("doc").alias("gone_doc"), mask(F.col("positions")).alias(marked)), "gone")
     digest = F.struct(col(key).alias("key"), F.xxhash64(col(text)).alias("digest"))
-    held = docs.withColumn(mine, digest).join(gone, F.col(mine).eqNullSafe(F.col("gone_doc")), "left")
+    # A merge join at every size: the documents are shuffled once, and no size makes another plan of it.
+    held = docs.withColumn(mine, digest).join(gone.hint("merge"), F.col(mine).eqNullSafe(F.col("gone_doc")), "left")
     whole = F.split(col(text), BREAK)
     one = F.lit("1").cast("binary")
     rest = F.filter(whole, lambda line, i: F.substring(F.col(marked), i + 1, F.lit(1)) != one)
