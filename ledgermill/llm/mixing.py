@@ -107,7 +107,7 @@ def plan(
     """
     cells = store(sized.groupBy("source", "cell").agg(F.sum("size").alias("size")), "mix_cells")
     sources = targets(cells.groupBy("source").agg(F.sum("size").alias("source_size")), weights, ceiling)
-    share = F.col("source_size") / F.sum("source_size").over(Window.partitionBy(F.lit(1)))
+    share = F.col("source_size") / F.nullif(F.sum("source_size").over(Window.partitionBy(F.lit(1))), F.lit(0))
     passes = F.when(F.col("source_size") > 0, F.least(F.lit(ceiling), F.floor(F.col("target") / F.col("source_size")))).otherwise(0)
     sources = store(
         sources.withColumn("blocks", F.greatest(F.lit(1), F.least(F.lit(CELLS), F.coalesce(F.round(share * blocks), F.lit(1)))).cast("int"))
