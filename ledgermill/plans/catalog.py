@@ -33,6 +33,11 @@ PERIOD_START, PERIOD_END = "1995-01-01", "2001-08-31"
 _STORED: dict[tuple, tuple[str, object]] = {}
 
 
+def forget_stored() -> None:
+    """Build every stored model anew when it is next used."""
+    _STORED.clear()
+
+
 class StoredRaw(RawTables):
     """Raw tables of which those that are derived by an aggregation or a posting are stored."""
 
