@@ -111,6 +111,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # The same cells, cuts and turns by md5; the level of targets by comparing sources with each other.
+    "op3_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         CAST('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), md5(text), '')), 1, 4) AS INTEGER) AS cell
+  FROM documents
+), per_source AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+  FROM sized GROUP BY source
+), whole AS (SELECT sum(source_size)::DOUBLE AS total FROM per_source
+), levels AS (
+  -- The level at which each source is full, and the level that the rest would reach were all fuller ones full.
+  SELECT p.*, 3.0 * source_size AS most,
+    (total - coalesce((SELECT sum(3.0 * q.source_size) FROM per_source q WHERE 3.0 * q.source_size / q.weight < 3.0 * p.source_size / p.weight), 0))
+      / (SELECT sum(q.weight) FROM per_source q WHERE 3.0 * q.source_size / q.weight >= 3.0 * p.source_size / p.weight) AS level
+  FROM per_source p, whole
+), filled AS (SELECT *, most / weight <= level AS capped FROM levels
+), targets AS (
+  SELECT source, source_size, CASE WHEN capped THEN most::DOUBLE ELSE
+      weight * (SELECT total - coalesce((SELECT sum(most) FROM filled WHERE capped), 0) FROM whole)::DOUBLE
+      / (SELECT sum(weight) FROM filled WHERE NOT capped)::DOUBLE END AS target
+  FROM filled
+), passes AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(least(3, floor(target / source_size)) AS INT) ELSE 0 END AS passes,
+    CAST(greatest(1, least(65536, round(source_size::DOUBLE / total * 2048))) AS INT) AS blocks
+  FROM targets, whole
+), placed AS (
+  SELECT s.*, p.source_size, p.target, p.passes, p.target - p.passes * p.source_size AS rest, (s.cell * p.blocks) // 65536 AS block
+  FROM sized s JOIN passes p ON p.source IS NOT DISTINCT FROM s.source
+), blocks AS (
+  SELECT source, block, rest, sum(size) AS size,
+    CAST('0x' || substr(md5('1:turn:' || coalesce(source, chr(0)) || ':' || block), 1, 4) AS INTEGER) AS turn
+  FROM placed GROUP BY ALL
+), in_turn AS (
+  SELECT source, block, size, rest - (sum(size) OVER (PARTITION BY source ORDER BY turn, block) - size) AS room FROM blocks
+), cells AS (
+  SELECT p.source, p.block, p.cell, any_value(t.room) AS room,
+    sum(sum(p.size)) OVER (PARTITION BY p.source, p.block ORDER BY p.cell) - sum(p.size) AS before, sum(p.size) AS size
+  FROM placed p JOIN in_turn t ON t.source IS NOT DISTINCT FROM p.source AND t.block = p.block
+  WHERE t.room > 0 AND t.room < t.size GROUP BY p.source, p.block, p.cell
+), cut AS (SELECT source, block, max(cell) AS upto FROM cells WHERE before + size / 2 <= room GROUP BY ALL)
+SELECT p.doc_id, p.size, p.source_size, p.target,
+  CAST(p.size * (p.passes + CASE WHEN t.room >= t.size AND t.size > 0 THEN 1 WHEN p.cell <= c.upto THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed p JOIN in_turn t ON t.source IS NOT DISTINCT FROM p.source AND t.block = p.block
+LEFT JOIN cut c ON c.source IS NOT DISTINCT FROM p.source AND c.block = p.block
+""",
     # The rule itself instead of the method: all runs that grow from a line until they hold 50 words, either way.
     "op6_line_dedup": r"""
 WITH lines AS (
