@@ -10,6 +10,7 @@ of a mapped file is a view of it.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,57 +25,84 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgermill.llm.common import col, slices, text_bytes
+from ledgermill.llm.word_table import WordTable
 from ledgermill.session import scratch_path
 
 MARK = "\x01"  # stands between words that are encoded together
-CACHE = 1_000_000  # words whose ids a worker remembers
+TOGETHER = 256  # words encoded at once
+PLAIN = "\u0130"  # letters before it stay letters in lower case
+MEMORY = 900_000  # words whose ids a worker remembers
 MANIFEST = "part int, file string, documents long, tokens long, start long"
 
 
 class WordEncoder:
-    """Ids of a text, word by word with a memory, for tokenizers that drop white space.
+    """Ids of texts, word by word with a memory, for tokenizers that drop white space.
 
     Such a tokenizer never looks across white space, so a text's ids are its words' ids
-    one after another. Unknown words are encoded many at a time with a mark between them
-    that has an id of its own; words that hold the mark themselves go alone.
+    one after another. New words are encoded many at a time. Words of letters are one
+    piece each and end with an id that closes a piece; others stand with a mark between
+    them that has an id of its own, and words that hold the mark go alone. Where upper and
+    lower case ASCII give the same ids, texts are lower-cased first, for fewer words.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        mark = self.encode(MARK)
-        self.mark = mark[0] if len(mark) == 1 and self.encode(f"a {MARK} b") == self.encode("a") + mark + self.encode("b") else None
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, text: str) -> list[int]:
+        self.kind = id_type(self.tokenizer)
+        mark = self.ids(MARK)
+        self.mark = mark[0] if len(mark) == 1 and self.ids(f"a {MARK} b") == self.ids("a") + mark + self.ids("b") else None
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        self.folds = all(self.ids(x) == self.ids(x.upper()) for x in (letters, *letters))
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.closes[i] = bool(suffix) and token.endswith(suffix)
+        self.table = WordTable(self.encode_words)
+
+    def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def learn(self, words: list[bytes]) -> None:
-        held = [w for w in words if self.mark is None or MARK.encode() in w]
-        for w in held:
-            self.known[w] = np.array(self.encode(w.decode()), self.kind).tobytes()
-        words = [w for w in words if w not in self.known] if held else words
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            ids = np.array(self.encode(f" {MARK} ".join([w.decode() for w in part])), np.int64)
-            data, size = ids.astype(self.kind).tobytes(), self.kind.itemsize
-            ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
-            start = 0
-            for w, end in zip(part, ends, strict=True):
-                self.known[w] = data[start * size : end * size]
-                start = end + 1
-
-    def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of every text, as bytes of ``kind``."""
-        split = [t.split() for t in texts]
-        words = set().union(*split)
-        unknown = [w for w in words if w not in self.known]
-        if len(self.known) + len(unknown) > CACHE:  # start over with the words at hand
-            self.known.clear()
-            unknown = list(words)
-        self.learn(unknown)
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [w.decode() for w in words]
+        closing = bool(self.closes.any())
+        plain = [closing and t.isalpha() and max(t) < PLAIN for t in texts]
+        kinds = np.array([2 if self.mark is None or MARK in t else 0 if p else 1 for t, p in zip(texts, plain)])
+        flat, sizes = [], np.zeros(len(words), np.int64)
+        order = np.argsort(kinds, kind="stable")
+        for kind in range(3):
+            rows = np.flatnonzero(kinds == kind)
+            step = 1 if kind == 2 else TOGETHER
+            for at in range(0, len(rows), step):
+                part = rows[at : at + step]
+                joined = (f" {MARK} " if kind == 1 else " ").join([texts[i] for i in part])
+                found = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+                if kind == 0:
+                    sizes[part] = np.diff(np.flatnonzero(self.closes[found]) + 1, prepend=0)
+                elif kind == 1:
+                    between = np.flatnonzero(found == self.mark)
+                    sizes[part] = np.diff(between, prepend=-1, append=len(found)) - 1
+                    found = np.delete(found, between)
+                else:
+                    sizes[part] = len(found)
+                flat.append(found)
+        # From the order of kinds back to that of the words.
+        data = np.concatenate([np.empty(0, np.int64), *flat])
+        starts = np.empty(len(words), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        at = np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        return data[at], sizes
+
+    def fold(self, text: bytes) -> bytes:
+        """Lower case, unless that would make a special token of something else."""
+        low = text.lower()
+        return text if any(s in low for s in self.special) else low
+
+    def encode(self, texts: list[bytes], end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts with the end after each, and how many each has."""
+        if len(self.table) > MEMORY:
+            self.table.forget()
+        _, _, ids, lengths = self.table.sequences([self.fold(t) for t in texts] if self.folds else texts, end)
+        return ids.astype(self.kind), lengths
 
 
 @lru_cache(maxsize=2)
@@ -87,14 +115,19 @@ def whole_encoder(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-def encode_texts(texts: list[bytes], path: str, by_word: bool) -> tuple[list[bytes], np.dtype]:
+def id_type(tokenizer: Tokenizer) -> np.dtype:
+    return np.dtype("<u2") if tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+
+
+def encode_texts(texts: list[bytes], path: str, by_word: bool, end: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, the end after each, in as few bytes as hold them; and how many each has."""
     if by_word:
-        own = encoder(path)
-        return own.encode_all(texts), own.kind
+        return encoder(path).encode(texts, end)
     tokenizer = whole_encoder(path)
-    kind = np.dtype("<u2") if tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-    found = tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
-    return [np.array(e.ids, kind).tobytes() for e in found], kind
+    last = [] if end is None else [end]
+    found = [e.ids + last for e in tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter((i for x in found for i in x), id_type(tokenizer), int(sizes.sum())), sizes
 
 
 def filesystem(folder: str) -> tuple[fs.FileSystem, str]:
@@ -114,19 +147,19 @@ class SequenceWriter:
         self.schema = sequence_schema(kind, length)
         self.writer = pa.ipc.new_file(sink, self.schema)
         self.kind, self.length, self.rows = kind, length, rows
-        self.held: list[bytes] = []
-        self.bytes = 0
+        self.held: list[np.ndarray] = []
+        self.size = 0
 
-    def add(self, ids: bytes) -> None:
+    def add(self, ids: np.ndarray) -> None:
         self.held.append(ids)
-        self.bytes += len(ids)
-        size = self.rows * self.length * self.kind.itemsize
-        if self.bytes >= size:
-            data = b"".join(self.held)
-            whole = len(data) // size * size
-            for at in range(0, whole, size):
-                self.batch(np.frombuffer(data, self.kind, size // self.kind.itemsize, at), size // self.kind.itemsize)
-            self.held, self.bytes = [data[whole:]], len(data) - whole
+        self.size += len(ids)
+        whole = self.rows * self.length
+        if self.size >= whole:
+            data = np.concatenate(self.held)
+            end = len(data) // whole * whole
+            for at in range(0, end, whole):
+                self.batch(data[at : at + whole], whole)
+            self.held, self.size = [data[end:]], len(data) - end
 
     def batch(self, ids: np.ndarray, real: int) -> None:
         mask = np.arange(len(ids)) < real
@@ -134,7 +167,7 @@ class SequenceWriter:
         self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
 
     def close(self) -> None:
-        ids = np.frombuffer(b"".join(self.held), self.kind)
+        ids = np.concatenate([np.empty(0, self.kind), *self.held])
         if len(ids):
             filled = np.zeros(-(-len(ids) // self.length) * self.length, self.kind)
             filled[: len(ids)] = ids
@@ -206,16 +239,11 @@ def write_token_files(
         part = TaskContext.get().partitionId()
         name = f"part-{part:05d}-{uuid4().hex}"
         documents, tokens, writer, index = 0, 0, None, None
-        end = b""
         with system.open_output_stream(f"{place}/{name}.arrow") as ids_out, system.open_output_stream(f"{place}/{name}.docs.arrow") as docs_out:
             for batch in (x for xs in ([first], batches) for x in xs):
-                encoded, kind = encode_texts(text_bytes(batch.column("text")), tokenizer, by_word)
-                if writer is None:
-                    writer = SequenceWriter(ids_out, kind, length, rows)
-                    end = b"" if end_id is None else np.array([end_id], kind).tobytes()
-                sizes = np.array([len(e) + len(end) for e in encoded], np.int64) // kind.itemsize
-                for e in encoded:
-                    writer.add(e + end)
+                ids, sizes = encode_texts(text_bytes(batch.column("text")), tokenizer, by_word, end_id)
+                writer = writer or SequenceWriter(ids_out, ids.dtype, length, rows)
+                writer.add(ids)
                 starts = tokens + np.cumsum(sizes) - sizes
                 listed = pa.RecordBatch.from_arrays([batch.column("key"), pa.array(starts), pa.array(sizes)], ["key", "start", "tokens"])
                 index = index or pa.ipc.new_file(docs_out, listed.schema)
