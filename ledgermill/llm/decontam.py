@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ledgermill.llm.common import col, free_name, slices
 
 Q = 8  # characters of a q-gram; folded to a byte each, one fits a 64-bit word
+SHORTER = (8, 4, 2, 1)  # the longest of these for which the lemma says something is taken for an item
+SPACED = "\u0e00"  # scripts before this one put spaces between words
+WHOLE = {"least_chars": 1, "piece_chars": None}  # options: every item is looked for, and as a whole
 HASH_BITS = 22
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -31,11 +34,18 @@ def fold(points: np.ndarray) -> np.ndarray:
     return out
 
 
-def grams(codes: np.ndarray) -> np.ndarray:
-    """The q-gram that starts at every position, as one integer."""
-    two = codes[:-1].astype(np.uint64) | codes[1:].astype(np.uint64) << np.uint64(8)
-    four = two[:-2] | two[2:] << np.uint64(16)
-    return four[:-4] | four[4:] << np.uint64(32)
+def grams(codes: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q-gram that starts at every position, as one integer; q is a power of two."""
+    out, size = codes.astype(np.uint64), 1
+    while size < q:
+        out = out[:-size] | out[size:] << np.uint64(8 * size)
+        size *= 2
+    return out
+
+
+def gram_size(length: int, rate: float) -> int:
+    """The longest q-gram for which the lemma says something about an item."""
+    return next((q for q in SHORTER if length + 1 - q * (int(length * rate) + 1) > 0), 1)
 
 
 def slots(g: np.ndarray) -> np.ndarray:
@@ -48,17 +58,18 @@ class Index:
 
     items: list[tuple[int, str]]  # id and normalised text
     rate: float
+    q: int = Q
     length: np.ndarray = field(init=False)
     budget: np.ndarray = field(init=False)  # edits allowed
     least: np.ndarray = field(init=False)  # q-grams that a region within the budget must share
 
     def __post_init__(self) -> None:
         self.length = np.array([len(t) for _, t in self.items], np.int64)
-        # The lemma says something only while length + 1 - Q * (budget + 1) is positive.
-        self.budget = np.minimum((self.length * self.rate).astype(np.int64), self.length // Q - 1)
-        self.least = self.length + 1 - Q * (self.budget + 1)
+        # The lemma says something only while length + 1 - q * (budget + 1) is positive.
+        self.budget = np.minimum((self.length * self.rate).astype(np.int64), self.length // self.q - 1)
+        self.least = self.length + 1 - self.q * (self.budget + 1)
         self.points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for _, t in self.items]
-        every = [grams(fold(p)) for p in self.points]
+        every = [grams(fold(p), self.q) for p in self.points]
         owner = np.concatenate([np.full(len(g), i, np.int64) for i, g in enumerate(every)])
         offset = np.concatenate([np.arange(len(g)) for g in every])
         flat = np.concatenate(every)
@@ -75,9 +86,9 @@ class Index:
         A match with at most k edits keeps its q-grams within k diagonals of each other,
         so bands of twice the width k + 1 that overlap by half hold all of them.
         """
-        if len(points) < Q:
+        if len(points) < self.q:
             return []
-        g = grams(fold(points))
+        g = grams(fold(points), self.q)
         at = np.flatnonzero(self.present[slots(g)])
         where = np.searchsorted(self.grams, g[at])
         where[where == len(self.grams)] = 0
@@ -90,7 +101,12 @@ class Index:
         item = self.owner[entry]
         # A pair with fewer shared q-grams in all has no band with enough.
         pair = doc[which] * len(self.items) + item
-        keep = np.flatnonzero(np.bincount(pair, minlength=1)[pair] >= self.least[item])
+        if len(bounds) * len(self.items) < 1 << 24:
+            shared = np.bincount(pair, minlength=1)[pair]
+        else:
+            _, own, times = np.unique(pair, return_inverse=True, return_counts=True)
+            shared = times[own]
+        keep = np.flatnonzero(shared >= self.least[item])
         which, entry, item = which[keep], entry[keep], item[keep]
         longest = int(self.length.max())  # keeps diagonals from being negative
         diagonal = (at - bounds[doc])[which] - self.offset[entry] + longest
@@ -109,8 +125,14 @@ class Index:
     def _count(item: np.ndarray, doc: np.ndarray, band: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (item, document, band) in order, and how many of the item's q-grams each has."""
         docs, bands, offsets = (int(x.max(initial=0)) + 1 for x in (doc, band, offset))
-        flat = np.sort(((item * docs + doc) * bands + band) * offsets + offset)
-        flat = flat[np.diff(flat, prepend=-1) != 0] // offsets
+        flat = (item * docs + doc) * bands + band
+        if (int(item.max(initial=0)) + 1) * docs * bands * offsets < 1 << 62:
+            flat = np.sort(flat * offsets + offset)
+            flat = flat[np.diff(flat, prepend=-1) != 0] // offsets
+        else:  # long items in many bands: the two do not fit one integer
+            order = np.lexsort((offset, flat))
+            flat, offset = flat[order], offset[order]
+            flat = flat[(np.diff(flat, prepend=-1) != 0) | (np.diff(offset, prepend=-1) != 0)]
         starts = np.flatnonzero(np.diff(flat, prepend=-1))
         key, hits = flat[starts], np.diff(starts, append=len(flat))
         return np.stack([key // bands // docs, key // bands % docs, key % bands]), hits
@@ -152,23 +174,43 @@ def align(pattern: np.ndarray, text: np.ndarray, first: int, last: int, budget:
     return int(cost[at]), int(origin[at]), int(low + len(pattern) + at)
 
 
+def inside_word(text: str, at: int) -> bool:
+    """Whether a word of a script with spaces between words goes on from before ``at``."""
+    pair = text[max(0, at - 1) : at + 1] if at else ""
+    return len(pair) == 2 and all(c.isalnum() and c < SPACED for c in pair)
+
+
+def exact(text: str, item: str, whole_words: bool) -> int:
+    """Where ``item`` stands in ``text`` first, or -1."""
+    at = text.find(item)
+    while whole_words and at >= 0 and (inside_word(text, at) or inside_word(text, at + len(item))):
+        at = text.find(item, at + 1)
+    return at
+
+
 def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, item, edits, start, end) of the best region for every item that a document holds."""
     parts = [t + "\0" * Q for t in texts]  # no q-gram of an item reaches over a gap
     bounds = np.cumsum([0, *map(len, parts[:-1])])
     points = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    sought: set[tuple[int, int]] = set()
     for doc, item, first, last in index.candidates(points, bounds):
         old = best.get((doc, item))
         if old and old[0] == 0:
             continue
-        exact = texts[doc].find(index.items[item][1])
-        if exact >= 0:
-            best[doc, item] = (0, exact, exact + int(index.length[item]))
+        budget = int(index.budget[item])
+        if (doc, item) not in sought:
+            sought.add((doc, item))
+            at = exact(texts[doc], index.items[item][1], budget == 0)
+            if at >= 0:
+                best[doc, item] = (0, at, at + int(index.length[item]))
+                continue
+        if budget == 0:
             continue
         begin = int(bounds[doc])
         text = points[begin : begin + len(texts[doc])]
-        found = align(index.points[item], text, first, last, int(index.budget[item]))
+        found = align(index.points[item], text, first, last, budget)
         if found and (old is None or found < old):
             best[doc, item] = found
     for (doc, item), (edits, start, end) in sorted(best.items()):
@@ -176,44 +218,44 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int
 
 
 def chunks(
-    benchmark: DataFrame, item: str, text: str, rate: float, least_chars: int, piece_chars: int, chunk_chars: int
-) -> Iterator[Index]:
-    """Indexes over benchmark items, each over about ``chunk_chars`` characters.
+    benchmark: DataFrame, item: str, text: str, rate: float, least_chars: int, piece_chars: int | None, chunk_chars: int
+) -> Iterator[list[Index]]:
+    """Indexes over benchmark items, together over about ``chunk_chars`` characters.
 
     Rows come to the driver a partition at a time, so what is held and sent is bounded by
     the chunk and not by the benchmark.
     """
     rows = benchmark.select(col(item).alias("item"), col(text).alias("text")).filter("item IS NOT NULL AND text IS NOT NULL")
-    held: list[tuple[int, str]] = []
+    held: dict[int, list[tuple[int, str]]] = {}
     size = 0
     for r in rows.distinct().toLocalIterator():
         t = normalise(r["text"])
-        if len(t) < max(least_chars, 2 * Q):
+        if len(t) < max(least_chars, 1):
             continue
-        pieces = -(-len(t) // piece_chars)
+        pieces = -(-len(t) // piece_chars) if piece_chars else 1
         for i in range(pieces):
             piece = t[i * len(t) // pieces : (i + 1) * len(t) // pieces]
             if size + len(piece) > chunk_chars and held:
-                yield Index(held, rate)
-                held, size = [], 0
-            held.append((r["item"], piece))
+                yield [Index(items, rate, q) for q, items in held.items()]
+                held, size = {}, 0
+            held.setdefault(gram_size(len(piece), rate), []).append((r["item"], piece))
             size += len(piece)
     if held:
-        yield Index(held, rate)
+        yield [Index(items, rate, q) for q, items in held.items()]
 
 
-def scan(docs: DataFrame, index: Index, text: str, mark: str) -> DataFrame:
-    """Every row of ``docs`` with ``mark``: an array of its matches in one index."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def scan(docs: DataFrame, indexes: list[Index], text: str, mark: str) -> DataFrame:
+    """Every row of ``docs`` with ``mark``: an array of its matches in the indexes."""
+    shared = docs.sparkSession.sparkContext.broadcast(indexes)
     kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("item", "distance", "start", "end")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in slices(batches, text, 1 << 21):
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             texts = [normalise(t) for t in batch.column(text).to_pylist()]
-            for doc, item, edits, start, end in matches(own, texts):
-                found[doc].append({"item": own.items[item][0], "distance": edits, "start": start, "end": end})
+            for own in shared.value:
+                for doc, item, edits, start, end in matches(own, texts):
+                    found[doc].append({"item": own.items[item][0], "distance": edits, "start": start, "end": end})
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, mark])
 
     schema = docs.withColumn(mark, F.lit(None).cast("array<struct<item:long,distance:long,start:long,end:long>>")).schema
@@ -229,7 +271,7 @@ def contamination(
     item_text: str = "text",
     rate: float = 0.1,
     least_chars: int = 32,
-    piece_chars: int = 1000,
+    piece_chars: int | None = 1000,
     chunk_chars: int = 1 << 20,
     mark: str = "matches",
 ) -> DataFrame:
@@ -238,10 +280,13 @@ def contamination(
     An item is held if some region of the normalised text (lower case, single spaces) is
     within an edit distance of ``rate`` times the item's length; start and end are that
     region's character positions there. All such items are found: a region within the
-    budget shares the number of q-grams that the lemma demands, in one band. Items of
-    fewer than ``least_chars`` normalised characters, and null ones, are passed over, since
-    ordinary text holds them by chance. Items of more than ``piece_chars`` are cut into
-    equal pieces, and a text that holds a piece holds the item. A null or empty text holds nothing, an empty
+    budget shares the number of q-grams that the lemma demands, in one band; the shorter
+    the item, the shorter its q-grams. Items too short for a single edit must stand there as
+    whole words, where the script has spaces. Items of fewer than ``least_chars`` normalised
+    characters, and null and empty ones, are passed over. Items of more than ``piece_chars``
+    are cut into equal pieces, and a text that holds a piece holds the item; with None, an
+    item of any length must be held as a whole. WHOLE has the options under which every item
+    is sought by that one rule. A null or empty text holds nothing, an empty
     benchmark leaves every array empty. Repeated rows stay; benchmark rows that repeat
     count once. A benchmark larger than ``chunk_chars`` is scanned in several passes.
     """
@@ -249,9 +294,9 @@ def contamination(
     nothing = F.array().cast("array<struct<item:long,distance:long,start:long,end:long>>")
     parts = []
     out = docs
-    for k, index in enumerate(chunks(benchmark, item, item_text, rate, least_chars, piece_chars, chunk_chars)):
+    for k, indexes in enumerate(chunks(benchmark, item, item_text, rate, least_chars, piece_chars, chunk_chars)):
         parts.append(free_name(out, f"matches_{k}"))
-        out = scan(out, index, text, parts[-1])
+        out = scan(out, indexes, text, parts[-1])
     found = F.concat(nothing, *[F.col(p) for p in parts]) if parts else nothing
     return out.select(*[col(c) for c in docs.columns], found.alias(mark))
 

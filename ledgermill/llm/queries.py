@@ -52,7 +52,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds, with the region and its edit distance."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), **decontam.WHOLE)
     return found.select("doc_id", F.explode("matches").alias("m")).select(
         "doc_id", F.col("m.item").alias("item_id"), F.col("m.distance").alias("distance"),
         F.col("m.start").alias("start"), F.col("m.end").alias("end"),

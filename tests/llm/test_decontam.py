@@ -127,3 +127,58 @@ def test_one_document_holds_many_items_and_copies_agree(spark, docs, items):
     text = " and ".join(t for _, t in items)
     got = flagged(decontam.contamination(docs((1, text), (2, text), (2, text)), benchmark))
     assert got == {1: [i for i, _ in items], 2: [i for i, _ in items]}
+
+
+def test_short_items_by_brute_force():
+    rng = random.Random(9)
+    letters = "abcdé ß"
+    items = []
+    while len(items) < 60:
+        t = decontam.normalise("".join(rng.choice(letters) for _ in range(1 + len(items))))
+        if t:
+            items.append((len(items), t))
+    docs = []
+    for k in range(80):
+        text = rng.choice(items)[1]
+        docs.append(decontam.normalise(f"zz {spoil(text, rng.randrange(2 + len(text) // 9), rng)} yy"))
+    got, want = set(), set()
+    for q in decontam.SHORTER:
+        own = [x for x in items if decontam.gram_size(len(x[1]), 0.1) == q]
+        index = decontam.Index(own, 0.1, q)
+        assert index.budget.tolist() == [len(t) // 10 for _, t in own] and (index.least > 0).all()
+        got |= {(d, own[i][0], e) for d, i, e, _, _ in decontam.matches(index, docs)}
+    for d, text in enumerate(docs):
+        for i, t in items:
+            if len(t) < 10:
+                at = [k for k in range(len(text)) if text.startswith(t, k)]
+                ends = lambda k: 0 < k < len(text) and text[k - 1].isalnum() and text[k].isalnum()
+                if any(not ends(k) and not ends(k + len(t)) for k in at):
+                    want.add((d, i, 0))
+            elif edits(t, text) <= len(t) // 10:
+                want.add((d, i, edits(t, text)))
+    assert got == want and {len(items[i][1]) for _, i, e in want if e} & {*range(10, 32)} and any(len(items[i][1]) < 8 for _, i, _ in want)
+
+
+def test_query_and_pipeline_seek_items_of_every_length(spark, docs, tmp_path):
+    import corpus_pipeline
+    from ledgermill.llm.queries import op5_decontamination
+
+    long = {n: decontam.normalise(" ".join(f"w{i * i % 1013}" for i in range(n)))[:n].strip() for n in (1000, 1002, 5000)}
+    rows = [(1, "Who discovered penicillin?"), (2, "42"), (3, "東京"), (4, "   "), (5, "Ünit"), *long.items()]
+    spark.createDataFrame(rows, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    half = long[1002][: len(long[1002]) // 2]
+    texts = [
+        (1, "so: who discovered\nPENICILLIN? he asked", {1}), (2, "it is 42.", {2}), (3, "it is 142 or 420", set()), (4, "私は東京に行く", {3}),
+        (5, "one unit, zwei ünite", set()), (6, "eine ünit", {5}), (7, f"a {half} b", set()), (8, f"a {long[5000][:4000]} b", {1000, 1002}),
+        (9, f"a {long[5000][:100]}XX{long[5000][120:]} b", {5000}), (10, "who discovered penicilin", {1}), (11, "", set()), (12, None, set()),
+    ]
+    df = docs(*[(i, t) for i, t, _ in texts])
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {}
+    for r in op5_decontamination(spark, str(tmp_path)).collect():
+        got.setdefault(r.doc_id, {})[r.item_id] = (r.distance, r.start, r.end)
+    short = {i: want for i, _, want in texts if i not in (8, 9)}
+    assert {i: set(got.get(i, {})) for i in short} == short
+    assert got[9][5000][0] <= 20 and got[9][5000][2] - got[9][5000][1] > 0.99 * len(long[5000]) and 5000 not in got.get(8, {})
+    clean = corpus_pipeline.decontamination(spark, df, str(tmp_path))
+    assert {r.doc_id for r in clean.collect()} == {i for i, _, _ in texts} - set(got)
