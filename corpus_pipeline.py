@@ -15,13 +15,11 @@ from pyspark.sql import functions as F
 from ledgermill.llm import decontam, lang_id, mixing, sharding, simhash
 from ledgermill.llm.common import documents, learnable, store
 
-SURE = 0.3  # least score of a language that is kept; chance among four languages is 0.25
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
     found = lang_id.identify_language(docs, learn=learnable("doc_id", 5, 0))
-    return found.filter((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("lang_score") >= SURE)).select(*docs.columns)
+    return found.filter(F.col("lang_pred") != lang_id.UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

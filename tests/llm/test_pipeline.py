@@ -74,3 +74,10 @@ def test_every_stage_takes_odd_and_empty_tables(spark, docs):
     for table in (odd(docs), docs((1, "a")).limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, table, SMALL).collect()
+
+
+def test_no_text_with_a_language_goes_for_its_score(spark, docs, monkeypatch):
+    scored = lambda df, **_: df.withColumns({"lang_pred": F.col("source"), "lang_score": F.lit(0.05)})
+    monkeypatch.setattr(corpus_pipeline.lang_id, "identify_language", scored)
+    df = docs((1, "kurz", "de", "de"), (2, "7", "de", corpus_pipeline.lang_id.UNKNOWN))
+    assert ids(corpus_pipeline.language(spark, df, SMALL)) == [1]
