@@ -1,9 +1,10 @@
-"""Line dedup by winnowing: shared runs of lines are found by window minima and later ones deleted.
+"""Line dedup by windows: shared runs of lines are found by their windows' content and later ones deleted.
 
 DataFrame operations only. Windows are measured in words: from every line on, the
-fewest following (and, the other way, preceding) lines that hold ``least_words``. A
-window's smallest line hash is its fingerprint, so two texts that share a run of lines
-with that many words share the fingerprints inside it, whatever surrounds the run.
+fewest following (and, the other way, preceding) lines that hold ``least_words``. Windows
+are joined on hashes of their whole content, so two texts that share a run of lines with
+that many words share the windows inside it, whatever surrounds the run. This is not
+winnowing: every window is kept, and its smallest line hash is only a part of the key.
 """
 
 from __future__ import annotations
