@@ -1,0 +1,125 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from ledgermill.llm import piece_codec, queries
+from ledgermill.llm.common import documents
+from tests.conftest import SMALL
+from tests.llm.conftest import odd, with_clashes
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return piece_codec.PieceModel(PATH)
+
+
+def round_trip(model, texts, **around):
+    ids, sizes = piece_codec.PieceEncoder(model).encode([t.encode() for t in texts], **around)
+    split = np.split(ids, np.cumsum(sizes)[:-1])
+    return [x.tolist() for x in split], [t.decode() for t in piece_codec.decode(model, ids, sizes)]
+
+
+def check(model, library, texts):
+    ids, decoded = round_trip(model, texts)
+    want = [library.encode(t, add_bos=True, add_eos=True) for t in texts]
+    assert ids == want
+    assert decoded == [library.decode(x) for x in want]
+
+
+TEXTS = [
+    "", " ", "  ", "   a", "a ", "a  b ", "\n", "\n\n a", "▁", "▁▁x ▁", "a▁b", "<s>", "</s> <unk>", "<0x0A>", "\x00", "﻿é", "😀😀",
+    "日本語テキスト", "\r\n\r\n", "a\r\nb", "\t\tif (x) {\r\n", "    \t  }", "ﬁ①Å", "é", "​ ​", " " * 1000, "ab" * 900,
+]
+
+
+def test_odd_texts(model, library):
+    check(model, library, TEXTS)
+
+
+def test_random_mixtures_of_pieces_and_characters(model, library):
+    rng = random.Random(1)
+    names = list(model.ids)
+
+    def part():
+        return rng.choice([rng.choice(names).replace("▁", " "), rng.choice("abc  \n\t.,;()=\r"), chr(rng.randint(0x80, 0x2FFF)), chr(rng.randint(0x10000, 0x1FFFF))])
+
+    check(model, library, ["".join(part() for _ in range(rng.randint(1, 30))) for _ in range(1500)])
+
+
+def test_words_beyond_the_bound_of_rounds(model, library):
+    rng = random.Random(2)
+    names = [n.replace("▁", "") for n in model.ids]
+    unbroken = ["".join(rng.choice("aeioutnrs") for _ in range(rng.randint(400, 2000))) for _ in range(20)]
+    check(model, library, [*unbroken, *("".join(rng.choice(names) for _ in range(400)) for _ in range(20))])
+
+
+def test_rounds_and_queue_agree(model, monkeypatch):
+    texts = ["".join(random.Random(k).choice("etaoin shr") for _ in range(300)) for k in range(30)]
+    by_rounds, _ = round_trip(model, texts)
+    monkeypatch.setattr(piece_codec, "LONG", 1)
+    assert round_trip(model, texts)[0] == by_rounds
+
+
+def test_memory_is_forgotten_without_a_trace(model, library, monkeypatch):
+    monkeypatch.setattr(piece_codec, "MEMORY", 3)
+    encoder = piece_codec.PieceEncoder(model)
+    for text in ("one two three four five", "six seven one", "one two"):
+        ids, _ = encoder.encode([text.encode()])
+        assert ids.tolist() == library.encode(text, add_bos=True, add_eos=True)
+
+
+def test_begin_and_end_ids_are_optional(model, library):
+    assert round_trip(model, ["a b", "", "c"], begin=False, end=False)[0] == library.encode(["a b", "", "c"])
+
+
+def test_any_ids_decode_as_the_library_decodes_them(model, library):
+    rng = random.Random(3)
+    runs = [[rng.choice([rng.randrange(32_000), rng.randrange(3, 259), rng.randrange(3, 259), 0, 1, 2, 28705]) for _ in range(rng.randint(0, 12))] for _ in range(4000)]
+    got = piece_codec.decode(model, np.array([i for r in runs for i in r], np.int64), np.array([len(r) for r in runs]))
+    assert [t.decode() for t in got] == [library.decode(r) for r in runs]
+    with pytest.raises(ValueError, match="out of range"):
+        piece_codec.decode(model, np.array([32_000]), np.array([1]))
+
+
+def test_all_documents(spark, library):
+    got = {r.doc_id: r for r in queries.op11_piece_codec(spark, SMALL).collect()}
+    rows = documents(spark, SMALL).collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        ids = library.encode(r.text or "", add_bos=True, add_eos=True)
+        assert got[r.doc_id].n_tokens == len(ids)
+        assert got[r.doc_id].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert got[r.doc_id].decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_odd_rows_and_names(docs, library):
+    df = with_clashes(odd(docs), "doc_id").withColumnRenamed("n", "ids")
+    want = sorted((r.doc_id is None, r.doc_id or 0, library.encode(r.text or "", add_bos=True, add_eos=True)) for r in odd(docs).collect())
+    encoded = piece_codec.encode_pieces(df, PATH)
+    decoded = piece_codec.decode_pieces(encoded, PATH)
+    assert encoded.columns == ["doc_id", "ids"] and decoded.columns == ["doc_id", "ids", "decoded"]
+    got = sorted((r.doc_id is None, r.doc_id or 0, np.frombuffer(r.ids, "<u4").tolist()) for r in decoded.collect())
+    assert got == want
+    assert sorted(r.decoded for r in decoded.collect()) == sorted(r.text or "" for r in df.collect())
+
+
+def test_very_long_texts_without_a_break(docs, library):
+    text = "etaoinshrdlu" * 40_000
+    row = piece_codec.encode_pieces(docs((1, text), (2, "\n" * 200_000)), PATH).filter("doc_id = 1").first()
+    assert np.frombuffer(row.ids, "<u4").tolist() == library.encode(text, add_bos=True, add_eos=True)
+
+
+def test_empty_table(docs):
+    encoded = piece_codec.encode_pieces(docs((1, "a")).limit(0), PATH)
+    assert encoded.count() == 0 and piece_codec.decode_pieces(encoded, PATH).count() == 0
