@@ -1,7 +1,8 @@
-"""The registered queries over the ten operators, and their DuckDB statements where SQL can say them."""
+"""The registered queries over the thirteen operators, and their DuckDB statements where SQL can say them."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,13 +10,17 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgermill.llm import decontam, lang_id, line_dedup, lm_score, mixing, quality, sharding, simhash, token_counts, token_files
+from ledgermill.llm import (
+    decontam, filter_audit, lang_id, line_dedup, lm_score, mixing, periodic_runs, piece_codec, quality, sharding, simhash,
+    token_counts, token_files,
+)
 from ledgermill.llm.common import documents, learnable
 
 SHARDS = 8
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 MULTI_BPE, MULTI_IDS = "byte_bpe_multi_50k.tiktoken", 50_256
 WORD_BPE = "word_bpe_49k.json"  # drops white space, so words are encoded one by one
+PIECES = "piece_bpe_32k.model"
 END = 1
 
 
@@ -97,6 +102,43 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~learn).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to piece ids and decoded from them."""
+    path = public_tokenizers.path(PIECES)
+    encoded = piece_codec.encode_pieces(documents(spark, sf_dir), path)
+    return piece_codec.decode_pieces(encoded, path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, a tenth of which are made to repeat words."""
+
+    def rewrite(words: list[bytes], doc_id: int | None) -> list[bytes]:
+        return words if doc_id is None else periodic_runs.echoed(words, zlib.crc32(str(doc_id).encode()))
+
+    found = periodic_runs.collapse_runs(documents(spark, sf_dir), rewrite=rewrite)
+    # a/b > c/d as ad > cb, so that no quotient is rounded.
+    top = F.expr(
+        "array_sort(runs, (x, y) -> CASE WHEN x.length * y.period > y.length * x.period THEN -1 "
+        "WHEN x.length * y.period < y.length * x.period THEN 1 WHEN x.start < y.start THEN -1 WHEN x.start > y.start THEN 1 "
+        "WHEN x.period < y.period THEN -1 WHEN x.period > y.period THEN 1 ELSE 0 END)"
+    )
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", F.get(top, F.lit(0))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from every language, in all orders."""
+    return filter_audit.audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_token_files": op2_token_files,
@@ -108,6 +150,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_lm_score": op9_lm_score,
     "op10_language_id": op10_language_id,
+    "op11_piece_codec": op11_piece_codec,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -191,5 +236,49 @@ WITH lines AS (
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(j.text, '') END AS text,
        coalesce(j.n_lines, 0) AS n_lines, coalesce(j.n_deleted, 0) AS n_deleted
 FROM documents d LEFT JOIN joined j USING (doc_id)
+""",
+    # Every order and step against every part's masks, without diagrams; a bit a filter in masks and orders.
+    "op13_filter_audit": r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), marked AS (
+  SELECT doc_id, part,
+    CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+  FROM texts
+), scores AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), cells AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM marked LEFT JOIN scores USING (doc_id) GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT '' AS filter_order, 0 AS step, 0 AS before, 0 AS bit
+  UNION ALL
+  SELECT filter_order || letter, step + 1, before + o.bit, l.bit FROM orders o JOIN letters l ON (o.before + o.bit) & l.bit = 0
+), placed AS (
+  -- Every order with the filter of each step and the bits of those before it.
+  SELECT f.filter_order, s.step, s.before, s.bit
+  FROM orders f JOIN orders s ON s.step >= 1 AND f.step = 5 AND s.filter_order = substr(f.filter_order, 1, s.step)
+), counted AS (
+  SELECT part, filter_order, step, p.bit,
+    sum(CASE WHEN mask & (before + p.bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & p.bit > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before > 0 AND mask & p.bit > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = p.bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & p.bit > 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & p.bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, placed p GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
 """,
 }
