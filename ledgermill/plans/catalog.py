@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgermill.functions.columns import as_doubles, with_audit
 from ledgermill.functions.frames import union_all
@@ -23,7 +24,15 @@ from ledgermill.session import fingerprint, path_exists, scratch_path, tune
 from ledgermill.sources import raw as readers
 from ledgermill.sources import sinks
 from ledgermill.sources.fixtures import AS_OF, TABLES, RawTables
-from ledgermill.streaming.upserts import read_file_stream, stream_dedupe, stream_upsert
+from ledgermill.streaming.upserts import (
+    dedupe_counts,
+    kept_rows,
+    late_rows,
+    latest_rows,
+    read_file_stream,
+    stream_dedupe,
+    stream_upsert,
+)
 
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 PERIOD_START, PERIOD_END = "1995-01-01", "2001-08-31"
@@ -422,30 +431,56 @@ def q_dedupe_latest(m: Models) -> DataFrame:
 # -- streams ------------------------------------------------------------------------
 
 
-def _event_stream(m: Models, files_per_batch: int | None = None) -> DataFrame:
-    """The events as a stream of several files, the newest ones first."""
-    folder = scratch_path(m.spark, "event_files")
-    events = m.raw.table("events")
-    latest = F.col("event_id") % 3
-    for part in (2, 1, 0):
-        events.filter(latest == part).coalesce(1).write.mode("append").parquet(folder)
-    return read_file_stream(m.spark, folder, events.schema, "*.parquet", files_per_batch)
+def _feed(m: Models, folder: str, events: DataFrame, run: int) -> None:
+    """Add the rows of one run to a folder of files."""
+    events.filter(F.col("run") == run).drop("run").write.mode("append").parquet(folder)
 
 
 def q_stream_upsert(m: Models) -> DataFrame:
-    """Batches that hold older events than the ones before them."""
-    path = scratch_path(m.spark, "latest_event")
-    stream = _event_stream(m, files_per_batch=1)
-    query = stream_upsert(stream, path, ["user_id"], ["ts", "event_id"], scratch_path(m.spark, "state"), buckets=16)
-    query.awaitTermination()
-    return bronze.read_table(m.spark, path)
+    """Three out-of-order deliveries, the newest events first, with a restart after each."""
+    folder, state = scratch_path(m.spark, "event_files"), scratch_path(m.spark, "state")
+    events = m.raw.table("events")
+    part = F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(3))
+    for run in range(3):
+        _feed(m, folder, events.withColumn("run", 2 - part), run)
+        stream_upsert(read_file_stream(m.spark, folder, events.schema), ["user_id"], ["ts", "event_id"], state).awaitTermination()
+    return latest_rows(m.spark, state, events.columns)
+
+
+def _deduped(m: Models, events: DataFrame, runs: int, delay: str) -> tuple[str, StructType]:
+    folder, path, state = (scratch_path(m.spark, n) for n in ("event_files", "events", "state"))
+    schema = events.drop("run").schema
+    for run in range(runs):
+        _feed(m, folder, events, run)
+        stream_dedupe(read_file_stream(m.spark, folder, schema), ["event_id"], "ts", delay, path, state).awaitTermination()
+    return path, schema
 
 
 def q_stream_dedupe(m: Models) -> DataFrame:
-    path = scratch_path(m.spark, "events")
-    query = stream_dedupe(_event_stream(m), ["event_id"], "ts", "1 day", path, scratch_path(m.spark, "state"))
-    query.awaitTermination()
-    return m.spark.read.parquet(path).select("event_id", "user_id", "event_type", "value", "props")
+    """Every event sent twice in one delivery."""
+    events = m.raw.table("events").withColumn("run", F.lit(0))
+    path, schema = _deduped(m, events.unionByName(events), 1, "1 day")
+    return kept_rows(m.spark, path, schema).select("event_id", "user_id", "event_type", "value", "props")
+
+
+def q_stream_late(m: Models) -> DataFrame:
+    """Three deliveries with stragglers and repeats: which rows are kept, which are late and by how much, how many repeat."""
+    events = m.raw.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    run = F.expr(
+        "CASE WHEN event_id % 10 = 3 THEN 2 WHEN ts < timestamp '2024-01-11' THEN 0 WHEN ts < timestamp '2024-01-21' THEN 1 ELSE 2 END"
+    )
+    first = events.withColumn("run", run)
+    again = first.filter("event_id % 7 = 1").withColumn("run", F.least(F.col("run") + 1, F.lit(2)))
+    path, schema = _deduped(m, first.unionByName(again), 3, "5 days")
+    one = F.lit(1).cast("long").alias("n")
+    kept = kept_rows(m.spark, path, schema).select(
+        F.lit("kept").alias("outcome"), "event_id", F.lit(None).cast("double").alias("late_by_seconds"), one
+    )
+    late = late_rows(m.spark, path, schema).select(F.lit("late").alias("outcome"), "event_id", "late_by_seconds", one)
+    repeated = dedupe_counts(m.spark, path).agg(F.sum("repeated").alias("n")).select(
+        F.lit("repeated").alias("outcome"), F.lit(None).cast("long").alias("event_id"), F.lit(None).cast("double").alias("late_by_seconds"), "n"
+    )
+    return kept.unionByName(late).unionByName(repeated)
 
 
 # -- schedules ----------------------------------------------------------------------
@@ -592,6 +627,7 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "dedupe_latest": q_dedupe_latest,
     "stream_upsert": q_stream_upsert,
     "stream_dedupe": q_stream_dedupe,
+    "stream_late": q_stream_late,
     **{n: (lambda m, n=n: getattr(m, n)) for n in MODEL_NAMES if n != "dim_accounts"},
     **{n: (lambda m, n=n, src=src: getattr(serving, n)(getattr(m, src))) for n, src in SERVING.items()},
     "post_invoices_gl": lambda m: posting.post_invoices_gl(m.stg("raw_invoices")),

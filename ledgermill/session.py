@@ -79,6 +79,16 @@ def _file(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whatever store it is in."""
+    files, at = _file(spark, path)
+    stream = files.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, at = _file(spark, path)
     return files.exists(at)

@@ -312,6 +312,23 @@ SOURCES = {
     "stream_dedupe": "SELECT DISTINCT ON (event_id) event_id, user_id, event_type, value, props FROM events",
 }
 
+_ARRIVALS = """arrivals AS (
+  SELECT event_id, ts, CASE WHEN event_id % 10 = 3 THEN 2 WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS run
+  FROM events
+), sent AS (
+  SELECT * FROM arrivals UNION ALL SELECT event_id, ts, least(run + 1, 2) FROM arrivals WHERE event_id % 7 = 1
+), bounds AS (
+  SELECT b.run, date_trunc('milliseconds', max(s.ts)) - INTERVAL 5 DAY AS bound FROM (SELECT unnest([1, 2]) AS run) b JOIN sent s ON s.run < b.run GROUP BY b.run
+), marked AS (
+  SELECT event_id, ts, bound, coalesce(ts <= bound, false) AS late, row_number() OVER (PARTITION BY event_id ORDER BY s.run) AS nth
+  FROM sent s LEFT JOIN bounds USING (run)
+)"""
+SOURCES["stream_late"] = f"""WITH {_ARRIVALS}
+SELECT CASE WHEN late THEN 'late' ELSE 'kept' END AS outcome, event_id,
+  CASE WHEN late THEN (epoch_us(bound) - epoch_us(ts)) / 1000000 END AS late_by_seconds, CAST(1 AS BIGINT) AS n
+FROM marked WHERE late OR nth = 1
+UNION ALL SELECT 'repeated', NULL, NULL, {N} FROM marked WHERE NOT late AND nth > 1"""
+
 # The bronze models check the same rows as the raw tables they project.
 _RAW_OF = {bronze_name(t): t for t in RAW_TABLES}
 
