@@ -21,6 +21,7 @@ from ledgermill.plans import annual, marts, serving, statements
 from ledgermill.plans.pipeline import load_bronze, posted_journal
 from ledgermill.schemas import LOAD_KEYS, RAW_TABLES, bronze_name, raw_schemas
 from ledgermill.session import fingerprint, path_exists, scratch_path, tune
+from ledgermill.sources import keyed_tables
 from ledgermill.sources import raw as readers
 from ledgermill.sources import sinks
 from ledgermill.sources.fixtures import AS_OF, TABLES, RawTables
@@ -395,11 +396,13 @@ def q_materialize_table(m: Models) -> DataFrame:
 
 
 def q_materialize_incremental(m: Models) -> DataFrame:
-    """A staged table loaded twice from the same source: the second load changes nothing."""
-    root = scratch_path(m.spark, "bronze")
-    raw = {"raw_invoices": m.raw.raw_invoices}
-    for load_ts in ("2001-08-14 06:00:00", "2001-08-15 06:00:00"):
-        loaded = load_bronze(m.spark, raw, root, load_ts, buckets=16)
+    """A staged table loaded three times: as it first was, the same again, and with rows that are new or changed."""
+    root, number = scratch_path(m.spark, "bronze"), F.expr("cast(substr(invoice_id, 2) AS bigint)")
+    now = m.raw.raw_invoices
+    was = now.filter(number % 50 != 7).withColumn("status", F.when(number % 20 == 3, "Draft").otherwise(F.col("status")))
+    for raw, load_ts in ((was, "2001-08-13 06:00:00"), (was, "2001-08-14 06:00:00"), (now, "2001-08-15 06:00:00")):
+        loaded = load_bronze(m.spark, {"raw_invoices": raw}, root, load_ts)
+    assert keyed_tables.table_versions(m.spark, f"{root}/bronze/stg_invoices") == [1, 2]  # the second load wrote nothing
     return loaded["stg_invoices"]
 
 
@@ -417,10 +420,27 @@ def q_upsert_table(m: Models) -> DataFrame:
     """The stored form of the same upsert."""
     path, keys = scratch_path(m.spark, "stg_invoices"), LOAD_KEYS["raw_invoices"]
     target = m.stg("raw_invoices")
-    bronze.create_table(target, path, keys, buckets=16)
+    keyed_tables.create_table(target, path, keys)
     batch = posting.select_paid_for_payment(target).withColumn("status", F.lit("Closed"))
-    bronze.upsert_table(m.spark, path, batch, keys)
-    return bronze.read_table(m.spark, path)
+    keyed_tables.upsert_table(m.spark, path, batch, keys)
+    return keyed_tables.read_table(m.spark, path)
+
+
+def q_upsert_table_as_of(m: Models) -> DataFrame:
+    """Small batches of old and new keys on a table of many files: what each read and wrote, and the table at every version."""
+    path, keys = scratch_path(m.spark, "stg_payments"), LOAD_KEYS["raw_payments"]
+    payments = m.stg("raw_payments")
+    number = F.expr("cast(substr(payment_id, 2) AS bigint)")
+    keyed_tables.create_table(payments.filter(number % 40 != 1), path, keys, file_rows=2_000)
+    for part in (0, 1):  # corrections, then late arrivals
+        batch = payments.filter(number % 40 == part).withColumn("payment_method", F.lit(f"batch {part}"))
+        keyed_tables.upsert_table(m.spark, path, batch, keys, file_rows=2_000)
+    parts = [
+        keyed_tables.read_table(m.spark, path, version).groupBy("payment_method").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+        .select(F.lit(version).alias("version"), "payment_method", "n", "amount")
+        for version in keyed_tables.table_versions(m.spark, path)
+    ]
+    return union_all(parts)
 
 
 def q_dedupe_latest(m: Models) -> DataFrame:
@@ -624,6 +644,7 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     **{bronze_name(t): (lambda m, t=t: m.stg(t)) for t in RAW_TABLES if t not in INLINE},
     "upsert": q_upsert,
     "upsert_table": q_upsert_table,
+    "upsert_table_as_of": q_upsert_table_as_of,
     "dedupe_latest": q_dedupe_latest,
     "stream_upsert": q_stream_upsert,
     "stream_dedupe": q_stream_dedupe,

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgermill.functions.columns import as_doubles, with_audit
 from ledgermill.operators import bronze, dims, facts, posting
 from ledgermill.plans import marts, statements
 from ledgermill.schemas import LOAD_KEYS, bronze_name
+from ledgermill.sources import keyed_tables
 from ledgermill.sources.sinks import load_replace
 
 # Year columns that partition the stored tables which have one.
@@ -73,17 +75,26 @@ def posted_journal(stg: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def load_bronze(spark: SparkSession, raw: dict[str, DataFrame], root: str, load_ts: str, buckets: int = 256) -> dict[str, DataFrame]:
-    """Create or upsert every staged table below ``root`` and return their current rows."""
+def load_bronze(
+    spark: SparkSession, raw: dict[str, DataFrame], root: str, load_ts: str, restamp: bool = False
+) -> dict[str, DataFrame]:
+    """Create every staged table below ``root``, or bring it up to its source, and return their current rows.
+
+    Rows are compared by digest and only those of new or changed keys are written, so a
+    row's ``ingestion_timestamp`` is that of the load that last changed it. With
+    ``restamp`` every load replaces all rows of its keys, whether they changed or not.
+    """
     current = {}
+    stamp = {"ingestion_timestamp": F.lit(load_ts).cast("timestamp")}
     for table, df in raw.items():
         name, path = bronze_name(table), f"{root}/bronze/{bronze_name(table)}"
-        batch = bronze.stage(df, table, load_ts)
-        if bronze.table_exists(spark, path):
-            bronze.upsert_table(spark, path, batch, LOAD_KEYS[table])
-        else:  # everything is new: no bucket to read and nothing to compare
-            bronze.create_table(batch, path, LOAD_KEYS[table], buckets)
-        current[name] = bronze.read_table(spark, path)
+        if not restamp:
+            keyed_tables.load_changes(spark, path, bronze.stage(df, table), LOAD_KEYS[table], stamp)
+        elif keyed_tables.table_exists(spark, path):
+            keyed_tables.upsert_table(spark, path, bronze.stage(df, table, load_ts), LOAD_KEYS[table])
+        else:  # everything is new: nothing to read and to compare
+            keyed_tables.create_table(bronze.stage(df, table, load_ts), path, LOAD_KEYS[table])
+        current[name] = keyed_tables.read_table(spark, path)
     return current
 
 
@@ -96,7 +107,7 @@ def store_models(spark: SparkSession, models: dict[str, DataFrame], layer: str,
 
 
 def build_all(
-    spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: str, load_ts: str, run_id: str, buckets: int = 256
+    spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: str, load_ts: str, run_id: str
 ) -> dict[str, DataFrame]:
     """Load bronze, then rebuild silver and gold as stored tables; returns every stored model.
 
@@ -104,10 +115,10 @@ def build_all(
     twice and a lost executor costs at most the running write. Without
     ``raw_journal_entries`` the ledger is posted from the staged tables.
     """
-    stg = load_bronze(spark, raw, root, load_ts, buckets)
+    stg = load_bronze(spark, raw, root, load_ts)
     if "stg_journal_entries" not in stg:
         journal = {"raw_journal_entries": posted_journal(stg)}
-        stg |= load_bronze(spark, journal, root, load_ts, buckets)
+        stg |= load_bronze(spark, journal, root, load_ts)
     silver = {n: with_audit(df, load_ts, "silver_inserted_at") for n, df in silver_models(stg, as_of).items()}
     silver = store_models(spark, silver, "silver", root)
     gold = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -74,14 +75,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/ledgermill/{uuid.uuid4().hex}/{name}"
 
 
-def _file(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file, whatever store it is in."""
-    files, at = _file(spark, path)
+    files, at = file_system(spark, path)
     stream = files.open(at)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -90,19 +92,27 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, at = _file(spark, path)
+    files, at = file_system(spark, path)
     return files.exists(at)
 
 
-def fingerprint(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Size and time of change of a file or folder; (0, 0) where there is none."""
-    files, at = _file(spark, path)
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """A digest of name, length and time of change of every file at or below a path; empty where there is none.
+
+    A store may give folders no time of change, and a part that is rewritten at equal
+    length changes neither their length nor, where it is replaced in place, their time.
+    """
+    files, at = file_system(spark, path)
     if not files.exists(at):
-        return 0, 0
-    return files.getContentSummary(at).getLength(), files.getFileStatus(at).getModificationTime()
+        return ""
+    found, listing = [], files.listFiles(at, True)
+    while listing.hasNext():
+        f = listing.next()
+        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(found)).encode()).hexdigest()
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate that nothing reads any more."""
-    files, at = _file(spark, path)
+    files, at = file_system(spark, path)
     files.delete(at, True)

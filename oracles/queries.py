@@ -295,7 +295,12 @@ SOURCES = {
     "load_replace": "SELECT payment_id, payment_date, CAST(amount AS DOUBLE) AS amount, payment_method FROM fact_payments",
     "load_replace_simple": doubles("fact_payments", "amount"),
     "materialize_table": doubles("fact_vendor_bills", "amount"),
-    "materialize_incremental": staged("raw_invoices").replace(" FROM ", ", TIMESTAMP '2001-08-15 06:00:00' AS ingestion_timestamp FROM "),
+    "materialize_incremental": staged("raw_invoices").replace(
+        " FROM ",
+        ", CASE WHEN CAST(substr(invoice_id, 2) AS BIGINT) % 50 = 7 OR (CAST(substr(invoice_id, 2) AS BIGINT) % 20 = 3 "
+        "AND status IS DISTINCT FROM 'Draft') THEN TIMESTAMP '2001-08-15 06:00:00' ELSE TIMESTAMP '2001-08-13 06:00:00' END "
+        "AS ingestion_timestamp FROM ",
+    ),
     "load_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, {N} AS n FROM {t}" for t in RAW_TABLES),
     "run_query": "SELECT * REPLACE ("
     + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MRR_MONEY)
@@ -307,6 +312,10 @@ SOURCES = {
     + ") FROM fact_subscriptions",
     "upsert": _UPSERTED,
     "upsert_table": _UPSERTED,
+    "upsert_table_as_of": """SELECT version, payment_method, CAST(count(*) AS BIGINT) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM (
+  SELECT CAST(v AS INT) AS version, amount, CASE WHEN part < v - 1 THEN 'batch ' || part ELSE payment_method END AS payment_method
+  FROM (SELECT *, CAST(substr(payment_id, 2) AS BIGINT) % 40 AS part FROM raw_payments) p, (SELECT unnest([1, 2, 3]) AS v) x
+  WHERE part <> 1 OR v = 3) held GROUP BY ALL""",
     "dedupe_latest": _LATEST.format(cols="user_id, ts, event_id, event_type, value, props"),
     "stream_upsert": _LATEST.format(cols="event_id, ts, user_id, event_type, value, props"),
     "stream_dedupe": "SELECT DISTINCT ON (event_id) event_id, user_id, event_type, value, props FROM events",

@@ -1,7 +1,3 @@
-import os
-
-import pytest
-
 from ledgermill.operators import bronze
 from ledgermill.schemas import LOAD_KEYS, RAW_TABLES, raw_schema
 from tests.conftest import as_list, as_set
@@ -33,79 +29,6 @@ def test_upsert_on_two_keys(rows):
     assert as_set(got) == {(1, 1, 10), (1, 2, 99)}
 
 
-def test_upsert_table_rewrites_only_touched_buckets(spark, rows, tmp_path):
-    path = str(tmp_path / "t")
-    first = spark.range(200).selectExpr("cast(id AS string) AS k", "id AS v")
-    bronze.create_table(first, path, ["k"], buckets=16)
-
-    def files():
-        return {
-            os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")
-        }
-
-    before = files()
-    batch = rows("k string, v bigint", "('5', 500), ('new', 1)")
-    bronze.upsert_table(spark, path, batch, ["k"])
-    after = files()
-    assert before <= after  # nothing that a reader may hold open is touched
-    touched = {os.path.basename(os.path.dirname(f)) for f in after - before}
-    assert 1 <= len(touched) <= 2
-    got = bronze.read_table(spark, path)
-    assert got.count() == 201
-    assert as_set(got.filter("k IN ('5', 'new')")) == {("5", 500), ("new", 1)}
-    # The same batch again changes nothing.
-    want = as_list(got)
-    bronze.upsert_table(spark, path, batch, ["k"])
-    assert as_list(bronze.read_table(spark, path)) == want
-    assert got.columns == ["k", "v"]
-
-
-def test_upsert_evaluates_its_batch_once(spark, tmp_path):
-    path = str(tmp_path / "t")
-    bronze.create_table(spark.range(1000).selectExpr("cast(id AS string) AS k", "id AS v"), path, ["k"], buckets=16)
-    # A key that differs whenever the batch is evaluated again.
-    batch = spark.range(1).selectExpr("uuid() AS k", "cast(-1 AS bigint) AS v")
-    bronze.upsert_table(spark, path, batch, ["k"])
-    got = bronze.read_table(spark, path)
-    assert got.count() == 1001 and got.filter("v >= 0").count() == 1000
-
-
-def test_replayed_batch_with_null_keys(spark, rows, tmp_path):
-    path = str(tmp_path / "t")
-    bronze.create_table(rows("k string, v int", "('a', 1), (NULL, 2)"), path, ["k"], buckets=4)
-    batch = rows("k string, v int", "(NULL, 3), ('b', 4)")
-    for _ in range(2):
-        bronze.upsert_table(spark, path, batch, ["k"], batch_id="b1")
-    want = rows("k string, v int", "('a', 1), (NULL, 2), (NULL, 3), ('b', 4)")
-    assert as_list(bronze.read_table(spark, path)) == as_list(want)
-    # Without an id rows that match nothing are added each time, as in a plain upsert.
-    bronze.upsert_table(spark, path, batch, ["k"])
-    assert bronze.read_table(spark, path).filter("k IS NULL").count() == 3
-
-
-def test_null_keys_are_spread_over_buckets(spark):
-    df = spark.range(1000).selectExpr("cast(NULL AS string) AS k", "id AS v")
-    assert bronze._bucketed(df, ["k"], 16).select(bronze.BUCKET).distinct().count() == 16
-
-
-def test_failed_upsert_leaves_the_table(spark, rows, tmp_path):
-    path = str(tmp_path / "t")
-    bronze.create_table(rows("k string, v int", "('a', 1)"), path, ["k"], buckets=4)
-    bad = rows("k string, v int", "('a', 2)").selectExpr("k", "cast(raise_error('no') AS int) AS v")
-    with pytest.raises(Exception):
-        bronze.upsert_table(spark, path, bad, ["k"])
-    assert as_set(bronze.read_table(spark, path)) == {("a", 1)}
-    with pytest.raises(FileNotFoundError):
-        bronze.read_table(spark, str(tmp_path / "none"))
-
-
-def test_upsert_with_order_keeps_the_newest(spark, rows, tmp_path):
-    path = str(tmp_path / "t")
-    bronze.create_table(rows("k string, t int, v int", "('a', 5, 50), ('b', 1, 10)"), path, ["k"], buckets=4)
-    bronze.upsert_table(spark, path, rows("k string, t int, v int", "('a', 1, 1), ('b', 2, 20), ('b', 1, 99)"), ["k"], order=["t"])
-    assert as_set(bronze.read_table(spark, path)) == {("a", 5, 50), ("b", 2, 20)}
-
-
 def test_dedupe_latest(rows):
     df = rows("k string, t int, v string", "('a', 1, 'x'), ('a', 3, 'y'), ('a', 3, 'z'), ('b', NULL, 'q')")
     assert as_set(bronze.dedupe_latest(df, ["k"], ["t"])) == {("a", 3, "z"), ("b", None, "q")}
