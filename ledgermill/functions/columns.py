@@ -77,11 +77,16 @@ def row_key(month: str, name: str | Column) -> Column:
     return F.md5(F.concat(F.date_format(month, "yyyy-MM-dd"), F.lit("|"), name))
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or backticks, as ``F.col`` takes it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def as_doubles(df: DataFrame) -> DataFrame:
     """Output edge: every DECIMAL column becomes DOUBLE."""
     return df.select(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+            F.col(quoted(f.name)).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(quoted(f.name))
             for f in df.schema.fields
         ]
     )

@@ -22,11 +22,23 @@ def _zero(col: str | Column) -> Column:
 def revenue_by_year_type(invoices: DataFrame) -> DataFrame:
     """Invoice totals per year with one column per invoice type there is, 0 where a year has none.
 
-    Totals per year and type come first; the types (a column each) are read off those few rows.
+    Totals per year and type come first; the types (a column each) are read off those few
+    rows and matched by position, so a type may have any text; a column is named by it. A
+    missing type has the column ``null``, and a name that is taken in any case of letters,
+    ``year`` first, gets a number.
     """
     totals = invoices.groupBy(F.year("invoice_date").alias("year"), "invoice_type").agg(F.sum("total_amount").alias("total"))
-    by_type = totals.groupBy("year").pivot("invoice_type").agg(F.sum("total"))
-    return by_type.select("year", *[_zero(F.col(f"`{t}`")).alias(t) for t in by_type.columns if t != "year"])
+    kinds = [r[0] for r in totals.select("invoice_type").distinct().orderBy(F.col("invoice_type").asc_nulls_last()).collect()]
+    taken, columns = {"year"}, []
+    for kind in kinds:
+        name = text = "null" if kind is None else kind
+        number = 2
+        while name.lower() in taken:
+            name, number = f"{text}_{number}", number + 1
+        taken.add(name.lower())
+        same = F.col("invoice_type").eqNullSafe(F.lit(kind).cast("string"))
+        columns.append(_zero(F.sum(F.when(same, F.col("total")))).alias(name))
+    return totals.groupBy("year").agg(*columns) if columns else totals.select("year")
 
 
 def revenue_lines_by_year(invoices: DataFrame) -> DataFrame:

@@ -277,55 +277,71 @@ SERVING = {
 # -- sources and sinks: written to a fresh shared path and read back ---------------
 
 
-def csv_round_trip(m: Models, table: str) -> str:
-    path = scratch_path(m.spark, f"{table}.csv")
-    sinks.write_csv(m.stg(table), path)
+def csv_round_trip(m: Models, df: DataFrame, name: str) -> str:
+    path = scratch_path(m.spark, f"{name}.csv")
+    sinks.write_csv(df, path)
     return path
 
 
+def awkward(df: DataFrame, column: str, key: str) -> DataFrame:
+    """Some of the texts of a column with quotes, doubled quotes, commas, backslashes and line breaks."""
+    kind = F.pmod(F.expr(f"cast(substr({key}, 2) AS bigint)"), F.lit(6))
+    text = F.col(column)
+    odd = (
+        F.when(kind == 0, F.concat(text, F.lit(' "Best" Ltd')))
+        .when(kind == 1, F.concat(F.lit('"'), text, F.lit('"')))
+        .when(kind == 2, F.concat(text, F.lit(', \\ and "", too')))
+        .when(kind == 3, F.concat(text, F.lit("\nline two")))
+        .when(kind == 4, F.concat(text, F.lit("\\")))
+    )
+    return df.withColumn(column, odd.otherwise(text))
+
+
 def q_read_raw_csv(m: Models) -> DataFrame:
-    """A file whose columns come in another order than declared."""
-    path = scratch_path(m.spark, "raw_customers.csv")
-    customers = m.stg("raw_customers")
-    sinks.write_csv(customers.select(*reversed(customers.columns)), path)
-    return readers.read_raw_csv(m.spark, path, "raw_customers")
+    """A file whose columns come in another order than declared, with awkward texts."""
+    customers = awkward(m.stg("raw_customers"), "company_name", "customer_id")
+    path = csv_round_trip(m, customers.select(*reversed(customers.columns)), "raw_customers")
+    return readers.read_raw_csv(m.spark, path, "raw_customers", multi_line=True)
 
 
 def q_read_raw_csv_inferred(m: Models) -> DataFrame:
-    return readers.read_raw_csv_inferred(m.spark, csv_round_trip(m, "raw_customers"))
+    customers = awkward(m.stg("raw_customers"), "company_name", "customer_id")
+    return readers.read_raw_csv_inferred(m.spark, csv_round_trip(m, customers, "raw_customers"))
 
 
-def q_read_csv_dir(m: Models) -> DataFrame:
-    """Every value of the tables of a folder but the one that is skipped, as text."""
+def _awkward_folder(m: Models) -> str:
     folder = scratch_path(m.spark, "csv")
-    for table in ("raw_customers", "raw_products", "raw_vendors"):
-        sinks.write_csv(m.stg(table), f"{folder}/{table}.csv")
-    tables = readers.read_csv_dir(m.spark, folder, skip=("raw_vendors",))
-    values = [
-        df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in FOLDER[name]]).alias("row_text"))
-        for name, df in tables.items()
+    for table, (column, key) in {
+        "raw_customers": ("company_name", "customer_id"),
+        "raw_products": ("description", "product_id"),
+        "raw_vendors": ("vendor_name", "vendor_id"),
+    }.items():
+        sinks.write_csv(awkward(m.stg(table), column, key), f"{folder}/{table}.csv")
+    return folder
+
+
+def _as_text(df: DataFrame, table: str) -> DataFrame:
+    """Every value of every row in one text; money with two digits, so that it is the same in every engine."""
+    cells = [
+        F.coalesce(F.col(c).cast("decimal(15,2)" if kind == "double" else "string").cast("string"), F.lit("-")) for c, kind in df.dtypes
     ]
-    return union_all(values)
+    return df.select(F.lit(table).alias("table_name"), F.concat_ws("|", *cells).alias("row_text"))
 
 
-# Columns whose text is the same in every engine.
-FOLDER = {
-    "raw_customers": ["customer_id", "company_name", "industry", "segment", "region", "billing_email", "created_at"],
-    "raw_products": ["product_id", "product_name", "product_category", "description", "created_at"],
-}
+def q_read_csv_dir(m: Models) -> DataFrame:
+    """Every value of the tables of a folder but the one that is skipped, as text."""
+    tables = readers.read_csv_dir(m.spark, _awkward_folder(m), skip=("raw_vendors",))
+    return union_all([_as_text(df, name) for name, df in tables.items()])
 
 
 def q_load_csv_dir(m: Models) -> DataFrame:
-    """Every file of a folder becomes a stored table, read back by name."""
-    folder = scratch_path(m.spark, "csv")
-    for table in ("raw_products", "raw_vendors"):
-        sinks.write_csv(m.stg(table), f"{folder}/{table}.csv")
+    """Every file of a folder becomes a stored table, read back by name, every value as text."""
+    folder = _awkward_folder(m)
     schema = "bronze_" + folder.split("/")[-2]
-    tables = readers.load_csv_dir(m.spark, folder, schema, scratch_path(m.spark, "tables"))
-    products = readers.source(m.spark, schema, "raw_products").select("product_id", "unit_price")
-    vendors = readers.ref(m.spark, "raw_vendors", schema).select("vendor_id", F.col("payment_terms_days").cast("double"))
+    tables = readers.load_csv_dir(m.spark, folder, schema, scratch_path(m.spark, "tables"), skip=("raw_customers",))
     assert sorted(tables) == ["raw_products", "raw_vendors"]
-    return products.toDF("id", "value").unionByName(vendors.toDF("id", "value"))
+    products = readers.source(m.spark, schema, "raw_products")
+    return union_all([_as_text(products, "raw_products"), _as_text(readers.ref(m.spark, "raw_vendors", schema), "raw_vendors")])
 
 
 def _catalogued(m: Models) -> str:
@@ -351,7 +367,7 @@ def q_raw_schemas(m: Models) -> DataFrame:
     for table, schema in raw_schemas().items():
         if table == "raw_chart_of_accounts":
             continue
-        df = readers.read_raw_csv(m.spark, csv_round_trip(m, table), table)
+        df = readers.read_raw_csv(m.spark, csv_round_trip(m, m.stg(table), table), table)
         cells = [
             F.struct(F.lit(f.name).alias("column_name"), F.lit(df.schema[f.name].dataType.simpleString()).alias("data_type"), F.col(f"n_{f.name}").alias("n"))
             for f in schema.fields
@@ -362,8 +378,9 @@ def q_raw_schemas(m: Models) -> DataFrame:
 
 
 def q_write_csv(m: Models) -> DataFrame:
-    path = csv_round_trip(m, "raw_invoices")
-    return readers.read_raw_csv(m.spark, path, "raw_invoices")
+    """Awkward texts, written and read back."""
+    path = csv_round_trip(m, awkward(m.stg("raw_invoices"), "status", "invoice_id"), "raw_invoices")
+    return readers.read_raw_csv(m.spark, path, "raw_invoices", multi_line=None)
 
 
 def _stored(m: Models, name: str, *loads: DataFrame, partition_by: str | None = None) -> DataFrame:
@@ -560,9 +577,10 @@ def q_annual_summary(m: Models) -> DataFrame:
 
 
 def q_revenue_by_year_type(m: Models) -> DataFrame:
-    """Three invoice types, one of which the annual summary does not know."""
-    setup = F.expr("cast(substr(invoice_id, 2) AS bigint) % 11 = 0")
-    invoices = m.stg("raw_invoices").withColumn("invoice_type", F.when(setup, "Setup").otherwise(F.col("invoice_type")))
+    """Five invoice types, among them one with a backtick and a dot and one called as the key."""
+    number = F.expr("cast(substr(invoice_id, 2) AS bigint)")
+    kind = F.when(number % 11 == 0, "Setup `one.off`").when(number % 13 == 0, "year").when(number % 17 == 0, F.lit(None).cast("string"))
+    invoices = m.stg("raw_invoices").withColumn("invoice_type", F.when(number % 17 == 0, kind).otherwise(F.coalesce(kind, F.col("invoice_type"))))
     return annual.revenue_by_year_type(invoices)
 
 

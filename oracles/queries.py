@@ -231,8 +231,11 @@ LEFT JOIN raw_chart_of_accounts a ON a.account_id = b.expense_account_id""",
     "revenue_by_year_type": """SELECT CAST(year(invoice_date) AS INT) AS year,
   CAST(sum(CASE WHEN kind = 'Subscription' THEN total_amount ELSE 0 END) AS DOUBLE) AS "Subscription",
   CAST(sum(CASE WHEN kind = 'Professional Services' THEN total_amount ELSE 0 END) AS DOUBLE) AS "Professional Services",
-  CAST(sum(CASE WHEN kind = 'Setup' THEN total_amount ELSE 0 END) AS DOUBLE) AS "Setup"
-FROM (SELECT *, CASE WHEN CAST(substr(invoice_id, 2) AS BIGINT) % 11 = 0 THEN 'Setup' ELSE invoice_type END AS kind FROM raw_invoices) i
+  CAST(sum(CASE WHEN kind = 'Setup `one.off`' THEN total_amount ELSE 0 END) AS DOUBLE) AS "Setup `one.off`",
+  CAST(sum(CASE WHEN kind = 'year' THEN total_amount ELSE 0 END) AS DOUBLE) AS year_2,
+  CAST(sum(CASE WHEN kind IS NULL THEN total_amount ELSE 0 END) AS DOUBLE) AS "null"
+FROM (SELECT *, CASE WHEN n % 17 = 0 AND n % 11 > 0 AND n % 13 > 0 THEN NULL WHEN n % 11 = 0 THEN 'Setup `one.off`' WHEN n % 13 = 0 THEN 'year'
+    ELSE invoice_type END AS kind FROM (SELECT *, CAST(substr(invoice_id, 2) AS BIGINT) AS n FROM raw_invoices) r) i
 GROUP BY 1""",
     "payroll_by_year": "SELECT CAST(year(pay_period_start) AS INT) AS year, CAST(sum(gross_pay) AS DOUBLE) AS gross_pay FROM raw_payroll GROUP BY 1",
     "vendor_spend_by_year": "SELECT CAST(year(bill_date) AS INT) AS year, CAST(sum(amount) AS DOUBLE) AS vendor_spend FROM raw_vendor_bills GROUP BY 1",
@@ -264,25 +267,44 @@ FROM (SELECT a.year, a.active_subs,
 _LATEST = """SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) e WHERE n = 1"""
 _UPSERTED = "SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount, CASE WHEN lower(trim(status)) = 'paid' THEN 'Closed' ELSE status END AS status) FROM raw_invoices"
 _TOKENS = "('', 'N/A')"  # of the missing-value tokens those that the test tables hold
+
+
+def _awkward(column: str, key: str) -> str:
+    """The planted texts: quotes, doubled quotes, commas, backslashes, line breaks."""
+    return (
+        f"CASE CAST(substr({key}, 2) AS BIGINT) % 6 WHEN 0 THEN {column} || ' \"Best\" Ltd' WHEN 1 THEN '\"' || {column} || '\"' "
+        f"WHEN 2 THEN {column} || ', \\ and \"\", too' WHEN 3 THEN {column} || chr(10) || 'line two' WHEN 4 THEN {column} || '\\' ELSE {column} END"
+    )
+
+
+_ODD = {"raw_customers": ("company_name", "customer_id"), "raw_products": ("description", "product_id"), "raw_vendors": ("vendor_name", "vendor_id")}
+_ODD["raw_invoices"] = ("status", "invoice_id")
+
+
+def _odd(table: str) -> str:
+    column, key = _ODD[table]
+    return f"(SELECT * REPLACE ({_awkward(column, key)} AS {column}) FROM {table}) t"
+
+
 _NULLED = ", ".join(
     f"CASE WHEN {c} NOT IN {_TOKENS} THEN {c} END AS {c}"
     for c in ("customer_id", "company_name", "industry", "segment", "region", "billing_email")
 )
 
 
-def _as_text(table: str, *columns: str) -> str:
-    cells = ", ".join(f"coalesce(CASE WHEN CAST({c} AS VARCHAR) NOT IN {_TOKENS} THEN CAST({c} AS VARCHAR) END, '-')" for c in columns)
-    return f"SELECT '{table}' AS table_name, concat_ws('|', {cells}) AS row_text FROM {table}"
+def _as_text(table: str) -> str:
+    cells = []
+    for c, kind in raw_columns(table):
+        text = f"CAST({c} AS VARCHAR)" if not kind.startswith("decimal") else f"CAST(CAST({c} AS DECIMAL(15,2)) AS VARCHAR)"
+        cells.append(f"coalesce(CASE WHEN {text} NOT IN {_TOKENS} THEN {text} END, '-')")
+    return f"SELECT '{table}' AS table_name, concat_ws('|', {', '.join(cells)}) AS row_text FROM {_odd(table)}"
 
 
 SOURCES = {
-    "read_raw_csv": staged("raw_customers"),
-    "read_raw_csv_inferred": f"SELECT {_NULLED}, CAST(credit_limit AS DOUBLE) AS credit_limit, created_at, is_active FROM raw_customers",
-    "read_csv_dir": _as_text("raw_customers", "customer_id", "company_name", "industry", "segment", "region", "billing_email", "created_at")
-    + " UNION ALL "
-    + _as_text("raw_products", "product_id", "product_name", "product_category", "description", "created_at"),
-    "load_csv_dir": "SELECT product_id AS id, CAST(unit_price AS DOUBLE) AS value FROM raw_products "
-    "UNION ALL SELECT vendor_id, CAST(payment_terms_days AS DOUBLE) FROM raw_vendors",
+    "read_raw_csv": staged("raw_customers").replace("FROM raw_customers", f"FROM {_odd('raw_customers')}"),
+    "read_raw_csv_inferred": f"SELECT {_NULLED}, CAST(credit_limit AS DOUBLE) AS credit_limit, created_at, is_active FROM {_odd('raw_customers')}",
+    "read_csv_dir": _as_text("raw_customers") + " UNION ALL " + _as_text("raw_products"),
+    "load_csv_dir": _as_text("raw_products") + " UNION ALL " + _as_text("raw_vendors"),
     "source": staged("raw_customers"),
     "ref": staged("raw_subscriptions"),
     "raw_schemas": " UNION ALL ".join(
@@ -291,7 +313,7 @@ SOURCES = {
         if t != "raw_chart_of_accounts"
         for c, kind in raw_columns(t)
     ),
-    "write_csv": staged("raw_invoices"),
+    "write_csv": staged("raw_invoices").replace("FROM raw_invoices", f"FROM {_odd('raw_invoices')}"),
     "load_replace": "SELECT payment_id, payment_date, CAST(amount AS DOUBLE) AS amount, payment_method FROM fact_payments",
     "load_replace_simple": doubles("fact_payments", "amount"),
     "materialize_table": doubles("fact_vendor_bills", "amount"),

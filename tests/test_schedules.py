@@ -100,3 +100,16 @@ def test_pivot_has_every_type_and_fills_zero(rows):
         (2000, 5, 0, 0),
         (2001, 0, 7, 9),
     }
+
+
+def test_revenue_of_any_type_text(rows):
+    from ledgermill.plans.annual import revenue_by_year_type
+
+    df = rows(
+        "invoice_date date, invoice_type string, total_amount int",
+        "('2001-01-02', 'a`b.c', 1), ('2001-03-02', 'year', 2), ('2002-01-02', NULL, 3), ('2002-01-02', 'Year', 4), ('2001-01-02', 'null', 5)",
+    )
+    got = revenue_by_year_type(df)
+    assert got.columns == ["year", "Year_2", "a`b.c", "null", "year_2_2", "null_2"] or sorted(got.columns) == sorted(set(got.columns))
+    assert sorted(map(tuple, got.collect()))[0][0] == 2001
+    assert revenue_by_year_type(df.limit(0)).columns == ["year"]
