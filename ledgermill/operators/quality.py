@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions.frames import union_all
@@ -107,6 +108,37 @@ FOREIGN_KEYS = [
 ]
 
 
+@dataclass
+class Watch:
+    """What the declared column rules of a model found while it was written."""
+
+    model: str
+    nulls: dict[str, int]
+    unaccepted: dict[str, int]
+
+
+def watch(df: DataFrame, model: str, rules: str | None = None) -> tuple[DataFrame, Callable[[], Watch]]:
+    """``df`` with its NULLs and unaccepted values counted as it is written, and how to get the counts then.
+
+    The counts are metrics of the very job that stores the model, so checking it costs no
+    scan. ``rules`` names the model whose rules hold, if it is another one.
+    """
+    rules = rules or model
+    columns = [c for c in NOT_NULL.get(rules, []) if c in df.columns]
+    listed = {c: values for (m, c), values in ACCEPTED.items() if m == rules and c in df.columns}
+    if not columns and not listed:
+        return df, lambda: Watch(model, {}, {})
+    seen = Observation()
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in columns]
+    others = [F.count_if(~F.col(c).isin(values)).alias(f"other {c}") for c, values in listed.items()]
+
+    def found() -> Watch:
+        n = seen.get
+        return Watch(model, {c: n[f"null {c}"] for c in columns}, {c: n[f"other {c}"] for c in listed})
+
+    return df.observe(seen, *nulls, *others), found
+
+
 def dq_not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     """NULL count of every listed column, all in one pass."""
     counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns])
@@ -147,13 +179,31 @@ def dq_orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> Da
 
 
 def check_not_null(models: Mapping[str, DataFrame]) -> DataFrame:
-    """All declared not-null rules of the given models."""
+    """All declared not-null rules of the given models, by a scan of each."""
     return union_all([dq_not_null(models[m], m, cols) for m, cols in NOT_NULL.items() if m in models])
 
 
+def watched_not_null(spark: SparkSession, watches: Mapping[str, Watch]) -> DataFrame:
+    """All declared not-null rules of models that were watched while they were stored; no model is read."""
+    rows = [(m, c, watches[m].nulls[c]) for m, cols in NOT_NULL.items() if m in watches for c in cols]
+    return spark.createDataFrame(rows, "model string, column_name string, failures long")
+
+
 def check_unique(models: Mapping[str, DataFrame]) -> DataFrame:
-    """All declared uniqueness rules of the given models."""
-    return union_all([dq_unique(models[m], m, col) for m, col in UNIQUE.items() if m in models])
+    """All declared uniqueness rules of the given models: a scan of each key column and one exchange for all.
+
+    The values of all models meet in one grouping, combined on the map side, so a value
+    repeated in a third of a model's rows is one row a task.
+    """
+    rules = [(m, c) for m, c in UNIQUE.items() if m in models]
+    values = [
+        models[m].filter(F.col(c).isNotNull()).select(F.lit(i).alias("rule"), F.col(c).cast("string").alias("value"))
+        for i, (m, c) in enumerate(rules)
+    ]
+    seen = union_all(values).groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n"))
+    repeated = [F.count_if((F.col("rule") == i) & (F.col("n") > 1)).alias(f"n{i}") for i in range(len(rules))]
+    rows = [F.struct(F.lit(m).alias("model"), F.lit(c).alias("column_name"), F.col(f"n{i}").alias("failures")) for i, (m, c) in enumerate(rules)]
+    return seen.agg(*repeated).select(F.inline(F.array(*rows)))
 
 
 def check_accepted_values(models: Mapping[str, DataFrame]) -> DataFrame:
@@ -161,14 +211,39 @@ def check_accepted_values(models: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([dq_accepted_values(models[m], m, c, vals) for (m, c), vals in ACCEPTED.items() if m in models])
 
 
+def watched_accepted_values(models: Mapping[str, DataFrame], watches: Mapping[str, Watch]) -> DataFrame | None:
+    """The same of models that were watched while they were stored: only a column that has such values is read, to list them."""
+    found = [
+        dq_accepted_values(models[m], m, c, values)
+        for (m, c), values in ACCEPTED.items()
+        if m in watches and watches[m].unaccepted[c]
+    ]
+    return union_all(found) if found else None
+
+
 def check_orphans(models: Mapping[str, DataFrame]) -> DataFrame:
-    """Orphan count of every foreign key whose two tables are given."""
-    return union_all(
-        [
-            dq_orphans(models[child], col, models[parent], key)
-            .agg(F.count(F.lit(1)).alias("failures"))
-            .select(F.lit(child).alias("model"), F.lit(col).alias("column_name"), F.lit(parent).alias("parent"), "failures")
-            for child, col, parent, key in FOREIGN_KEYS
-            if child in models and parent in models
-        ]
-    )
+    """Orphan count of every foreign key whose two tables are given: one scan a table and one exchange for all.
+
+    Every row gives its foreign keys and, where others refer to it, its own key, as
+    (referred key, value, rule). Grouped by key and value, combined on the map side, a
+    value without a parent counts for the rules that name it, however often it occurs.
+    """
+    rules = [r for r in FOREIGN_KEYS if r[0] in models and r[2] in models]
+    parents = list(dict.fromkeys((parent, key) for _, _, parent, key in rules))
+
+    def entry(ref: tuple[str, str], column: str, rule: int):
+        return F.struct(F.lit(parents.index(ref)).alias("ref"), F.col(column).cast("string").alias("value"), F.lit(rule).alias("rule"))
+
+    entries = []
+    for table in dict.fromkeys(t for child, _, parent, _ in rules for t in (child, parent)):
+        named = [entry((parent, key), c, i) for i, (child, c, parent, key) in enumerate(rules) if child == table]
+        own = [entry((parent, key), key, -1) for parent, key in parents if parent == table]
+        entries.append(models[table].select(F.inline(F.array(*named, *own))).filter(F.col("value").isNotNull()))
+    by_rule = [F.count_if(F.col("rule") == i).alias(f"n{i}") for i in range(len(rules))]
+    met = union_all(entries).groupBy("ref", "value").agg(F.max(F.col("rule") == -1).alias("known"), *by_rule)
+    lost = met.agg(*[F.coalesce(F.sum(F.when(~F.col("known"), F.col(f"n{i}"))), F.lit(0)).alias(f"n{i}") for i in range(len(rules))])
+    rows = [
+        F.struct(F.lit(child).alias("model"), F.lit(c).alias("column_name"), F.lit(parent).alias("parent"), F.col(f"n{i}").alias("failures"))
+        for i, (child, c, parent, _) in enumerate(rules)
+    ]
+    return lost.select(F.inline(F.array(*rows)))

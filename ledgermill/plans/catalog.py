@@ -17,10 +17,13 @@ from pyspark.sql.types import StructType
 from ledgermill.functions.columns import as_doubles, with_audit
 from ledgermill.functions.frames import union_all
 from ledgermill.operators import bronze, dims, facts, posting, quality, schedules
+from ledgermill.operators.bitmaps import ID
+from ledgermill.operators.intervals import interval_join, interval_totals
+from ledgermill.operators.prefix import dense_ids
 from ledgermill.plans import annual, marts, serving, statements
 from ledgermill.plans.pipeline import load_bronze, posted_journal
 from ledgermill.schemas import LOAD_KEYS, RAW_TABLES, bronze_name, raw_schemas
-from ledgermill.session import fingerprint, path_exists, scratch_path, tune
+from ledgermill.session import discard, fingerprint, path_exists, scratch_path, tune
 from ledgermill.sources import keyed_tables
 from ledgermill.sources import raw as readers
 from ledgermill.sources import sinks
@@ -39,12 +42,15 @@ FIRST_YEAR, LAST_YEAR = 1995, 2001
 PERIOD_START, PERIOD_END = "1995-01-01", "2001-08-31"
 
 
-# Stored models of this process: (application, state of the input files, model) -> path and schema.
-_STORED: dict[tuple, tuple[str, object]] = {}
+# Stored models of this process: (application, state of the input files, model) -> path, schema and what its rules found.
+_STORED: dict[tuple, tuple[str, StructType, quality.Watch]] = {}
 
 
-def forget_stored() -> None:
-    """Build every stored model anew when it is next used."""
+def forget_stored(spark: SparkSession | None = None) -> None:
+    """Build every stored model anew when it is next used; with a session, delete what its own have stored."""
+    for key, (path, _, _) in _STORED.items():
+        if spark is not None and key[0] == spark.sparkContext.applicationId:
+            discard(spark, path.rsplit("/", 1)[0])
     _STORED.clear()
 
 
@@ -87,40 +93,54 @@ class Models:
 
     @cached_property
     def state(self) -> tuple:
-        """What tells one content of the input folder from another."""
+        """What tells one content of the input folder from another: every file's name, length and time."""
         return tuple(fingerprint(self.spark, f"{self.sf_dir}/{t}.parquet") for t in TABLES)
 
     def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The stored model ``name``; the first use in a session stores it, and counts what its column rules find."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.state, name)
         if key not in _STORED or not path_exists(self.spark, _STORED[key][0]):
-            df, path = build(), scratch_path(self.spark, name)
+            path = scratch_path(self.spark, name)
+            # A raw table that is stored has the columns of the staged one.
+            df, found = quality.watch(build(), name, bronze_name(name) if name.startswith("raw_") else None)
             df.write.parquet(path)
-            _STORED[key] = (path, df.schema)
-        path, schema = _STORED[key]
+            _STORED[key] = (path, df.schema, found())
+        path, schema, _ = _STORED[key]
         return self.spark.read.schema(schema).parquet(path)
 
     def stg(self, table: str) -> DataFrame:
-        return bronze.stage(getattr(self.raw, table), table)
+        if table in STORED_RAW:
+            return bronze.stage(getattr(self.raw, table), table)
+        return self.keep(bronze_name(table), lambda: bronze.stage(getattr(self.raw, table), table))
+
+    def watched(self, names: list[str]) -> dict[str, quality.Watch]:
+        """What the rules of the named models found when these were stored."""
+        found = {}
+        for name in names:
+            stored = STAGED[name] if STAGED.get(name) in STORED_RAW else name
+            self.stg(STAGED[name]) if name in STAGED else getattr(self, name)
+            found[name] = _STORED[(self.spark.sparkContext.applicationId, self.sf_dir, self.state, stored)][2]
+        return found
 
     @cached_property
     def dim_accounts(self) -> DataFrame:
-        return dims.dim_accounts(self.stg("raw_chart_of_accounts"))
+        return self.keep("dim_accounts", lambda: dims.dim_accounts(self.stg("raw_chart_of_accounts")))
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return dims.dim_customers(self.stg("raw_customers"))
+        return self.keep("dim_customers", lambda: dims.dim_customers(self.stg("raw_customers")))
 
     @cached_property
     def dim_employees(self) -> DataFrame:
-        return dims.dim_employees(self.stg("raw_employees"))
+        return self.keep("dim_employees", lambda: dims.dim_employees(self.stg("raw_employees")))
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return dims.dim_products(self.stg("raw_products"))
+        return self.keep("dim_products", lambda: dims.dim_products(self.stg("raw_products")))
 
     @cached_property
     def dim_vendors(self) -> DataFrame:
-        return dims.dim_vendors(self.stg("raw_vendors"))
+        return self.keep("dim_vendors", lambda: dims.dim_vendors(self.stg("raw_vendors")))
 
     @cached_property
     def fact_invoices(self) -> DataFrame:
@@ -137,19 +157,25 @@ class Models:
 
     @cached_property
     def fact_payments(self) -> DataFrame:
-        return facts.fact_payments(self.stg("raw_payments"))
+        return self.keep("fact_payments", lambda: facts.fact_payments(self.stg("raw_payments")))
 
     @cached_property
     def fact_payroll(self) -> DataFrame:
-        return facts.fact_payroll(self.stg("raw_payroll"))
+        return self.keep("fact_payroll", lambda: facts.fact_payroll(self.stg("raw_payroll")))
 
     @cached_property
     def fact_subscriptions(self) -> DataFrame:
         return self.keep("fact_subscriptions", lambda: facts.fact_subscriptions(self.stg("raw_subscriptions"), AS_OF))
 
+    @cached_property
+    def audited_vendor_bills(self) -> DataFrame:
+        """The one model of which a rule names the load time."""
+        build = lambda: with_audit(facts.fact_vendor_bills(self.stg("raw_vendor_bills"), AS_OF), AS_OF, "silver_inserted_at")
+        return self.keep("fact_vendor_bills", build)
+
     @cached_property
     def fact_vendor_bills(self) -> DataFrame:
-        return facts.fact_vendor_bills(self.stg("raw_vendor_bills"), AS_OF)
+        return self.audited_vendor_bills.drop("silver_inserted_at")
 
     @cached_property
     def ledger_months(self) -> DataFrame:
@@ -193,6 +219,16 @@ class Models:
     def rpt_payroll_burn(self) -> DataFrame:
         return self.keep("rpt_payroll_burn", lambda: marts.rpt_payroll_burn(self.fact_payroll, self.dim_employees))
 
+    @cached_property
+    def revenue_bitmaps(self) -> DataFrame:
+        ids = self.keep("customer_ids", lambda: dense_ids(self.rpt_revenue_summary, "customer_id", ID))
+        return self.keep("revenue_bitmaps", lambda: serving.revenue_bitmaps(self.rpt_revenue_summary, ids))
+
+    @cached_property
+    def payroll_bitmaps(self) -> DataFrame:
+        ids = self.keep("employee_ids", lambda: dense_ids(self.rpt_payroll_burn, "employee_id", ID))
+        return self.keep("payroll_bitmaps", lambda: serving.payroll_bitmaps(self.rpt_payroll_burn, ids))
+
     def by_name(self) -> Mapping[str, DataFrame]:
         """Every model the quality rules name."""
         return NamedModels(self, [*STAGED, *MODEL_NAMES])
@@ -213,8 +249,7 @@ class NamedModels(Mapping):
             raise KeyError(name)
         if name in STAGED:
             return self.models.stg(STAGED[name])
-        df = getattr(self.models, name)
-        return with_audit(df, AS_OF, "silver_inserted_at") if name == "fact_vendor_bills" else df
+        return self.models.audited_vendor_bills if name == "fact_vendor_bills" else getattr(self.models, name)
 
     def __contains__(self, name: object) -> bool:
         return name in self.names
@@ -226,6 +261,8 @@ class NamedModels(Mapping):
         return len(self.names)
 
 
+# Raw tables that are derived by more than a projection and stored as such.
+STORED_RAW = ("raw_employees", "raw_vendor_bills", "raw_payroll", "raw_journal_entries")
 STAGED = {bronze_name(t): t for t in RAW_TABLES}
 MODEL_NAMES = [
     "dim_accounts",
@@ -584,6 +621,40 @@ def q_revenue_by_year_type(m: Models) -> DataFrame:
     return annual.revenue_by_year_type(invoices)
 
 
+def q_fact_invoices_bucketed(m: Models) -> DataFrame:
+    """The fact over headers and lines that are stored in buckets by invoice: neither side moves."""
+    return facts.fact_invoices(*bucketed_invoices(m), AS_OF)
+
+
+def bucketed_invoices(m: Models) -> list[DataFrame]:
+    stored = []
+    for table in ("raw_invoices", "raw_invoice_lines"):
+        path = scratch_path(m.spark, bronze_name(table))
+        name = f"{bronze_name(table)}_{path.rsplit('/', 2)[1]}"
+        sinks.load_replace(m.stg(table), name, path=path, bucket_by=["invoice_id"])
+        stored.append(readers.ref(m.spark, name))
+    return stored
+
+
+def _asked_days(m: Models) -> DataFrame:
+    return m.raw.table("orders").select(F.col("o_orderdate").cast("date").alias("day"))
+
+
+def q_subscriptions_on_days(m: Models) -> DataFrame:
+    """Active subscriptions and their monthly revenue on every day of a list."""
+    return interval_totals(
+        _asked_days(m), m.stg("raw_subscriptions"), "day", "start_date", "end_date",
+        active_subs=F.lit(1).cast("long"), mrr=F.col("mrr"),
+    )
+
+
+def q_interval_join(m: Models) -> DataFrame:
+    """Which subscriptions ran on each of the first days of a month in a list."""
+    days = _asked_days(m).filter(F.dayofmonth("day") == 1).distinct()
+    subscriptions = m.stg("raw_subscriptions").select("subscription_id", "start_date", "end_date")
+    return interval_join(days, subscriptions, "day", "start_date", "end_date").select("day", "subscription_id")
+
+
 # Faults planted into clean tables, so that a check has something to find and to pass over.
 NUMBER = "try_cast(substr(transaction_ref, 2) AS bigint)"
 
@@ -623,10 +694,16 @@ MISSING = {
 def q_dq_unique(m: Models) -> DataFrame:
     models = dict(m.by_name())
     for name, twice in REPEATED.items():
-        models[name] = models[name].unionByName(models[name].filter(twice))
+        copies = F.when(F.expr(twice), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        models[name] = models[name].withColumn("_copy", F.explode(copies)).drop("_copy")
     return quality.check_unique(models)
 
 
+def q_dq_not_null(m: Models) -> DataFrame:
+    """Counted while the models were stored, from which nothing is read."""
+    return quality.watched_not_null(m.spark, m.watched(list(quality.NOT_NULL)))
+
+
 def q_dq_orphans(m: Models) -> DataFrame:
     tables = dict(m.staged())
     for name, gone in MISSING.items():
@@ -636,9 +713,9 @@ def q_dq_orphans(m: Models) -> DataFrame:
 
 def q_dq_accepted_values(m: Models) -> DataFrame:
     """Declared rules, plus bill statuses against a list that lacks OPEN."""
-    declared = quality.check_accepted_values(m.by_name())
+    declared = quality.watched_accepted_values(m.by_name(), m.watched(list(dict.fromkeys(model for model, _ in quality.ACCEPTED))))
     short = quality.dq_accepted_values(m.fact_vendor_bills, "fact_vendor_bills (short list)", "status", ["PAID"])
-    return declared.unionByName(short)
+    return short if declared is None else declared.unionByName(short)
 
 
 # Not a given table but fixed rows: the chart of accounts takes part in queries and is none itself.
@@ -697,8 +774,16 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     ),
     "cogs_by_year": lambda m: annual.cogs_by_year(m.stg("raw_journal_entries")),
     "annual_summary": q_annual_summary,
+    "fact_invoices_bucketed": q_fact_invoices_bucketed,
+    "subscriptions_on_days": q_subscriptions_on_days,
+    "interval_join": q_interval_join,
+    "mrr_trend_bitmaps": lambda m: serving.mrr_trend_rolled(m.revenue_bitmaps),
+    "revenue_by_segment_bitmaps": lambda m: serving.revenue_by_segment_rolled(m.revenue_bitmaps),
+    "revenue_by_rep_bitmaps": lambda m: serving.revenue_by_rep_rolled(m.revenue_bitmaps),
+    "payroll_bitmaps": lambda m: serving.payroll_rolled(m.payroll_bitmaps),
+    "payroll_annual_bitmaps": lambda m: serving.payroll_annual_rolled(m.payroll_bitmaps),
     "churn_summary": lambda m: annual.churn_summary(m.stg("raw_subscriptions")),
-    "dq_not_null": lambda m: quality.check_not_null(m.by_name()),
+    "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_accepted_values": q_dq_accepted_values,
     "dq_gl_balance": q_dq_gl_balance,
@@ -707,5 +792,9 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One registered query, with money as DOUBLE."""
+    """One registered query, with money as DOUBLE.
+
+    The first query of a session that needs a model starts the jobs that store it while
+    its plan is built; the streams, loads and running totals start jobs of their own too.
+    """
     return as_doubles(QUERIES[name](Models(spark, sf_dir)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions.columns import percent
+from ledgermill.operators.bitmaps import bitmap_rollup, roll_up
 
 CASH_NAME = "CASH AND CASH EQUIVALENTS"
 TOP_N = 15
@@ -278,3 +279,64 @@ def payroll_annual(burn: DataFrame) -> DataFrame:
         .agg(_total("gross_pay"), F.countDistinct("employee_id").alias("headcount"))
         .orderBy(F.asc_nulls_last("pay_year"), "department", "pay_type")
     )
+
+
+# -- distinct counts from stored bitmaps ----------------------------------------------
+
+
+def revenue_bitmaps(revenue: DataFrame, customer_ids: DataFrame) -> DataFrame:
+    """The paying customers of every month, type, segment and rep as bitmaps, with the revenue."""
+    grain = ["invoice_month", "invoice_year", "invoice_type", "segment", "sales_rep_name"]
+    return bitmap_rollup(revenue, grain, customer_ids, "customer_id", ["gross_revenue", "net_revenue", "invoice_count"])
+
+
+def payroll_bitmaps(burn: DataFrame, employee_ids: DataFrame) -> DataFrame:
+    """The employees paid in every month, department and pay type as bitmaps, with the pay."""
+    grain = ["pay_month", "pay_year", "department", "pay_type"]
+    return bitmap_rollup(burn, grain, employee_ids, "employee_id", ["gross_pay", "tax_withheld", "net_pay"])
+
+
+def mrr_trend_rolled(bitmaps: DataFrame) -> DataFrame:
+    """``mrr_trend`` from the stored bitmaps."""
+    months = roll_up(
+        bitmaps.filter(F.col("invoice_type") == "SUBSCRIPTION"), ["invoice_month", "invoice_year"], "paying_customers", ["gross_revenue"]
+    )
+    return months.select("invoice_month", "invoice_year", _whole(F.col("gross_revenue"), "sub_revenue"), "paying_customers").orderBy(
+        F.asc_nulls_last("invoice_month")
+    )
+
+
+def revenue_by_segment_rolled(bitmaps: DataFrame) -> DataFrame:
+    """``revenue_by_segment`` from the stored bitmaps."""
+    found = roll_up(bitmaps, ["segment", "invoice_type"], "customer_count", ["gross_revenue", "net_revenue"])
+    money = [_whole(F.col(c), c) for c in ("gross_revenue", "net_revenue")]
+    return found.select("segment", "invoice_type", *money, "customer_count").orderBy(F.desc_nulls_first("gross_revenue"))
+
+
+def revenue_by_rep_rolled(bitmaps: DataFrame) -> DataFrame:
+    """``revenue_by_rep`` from the stored bitmaps."""
+    found = roll_up(bitmaps, ["sales_rep_name"], "customers", ["gross_revenue", "net_revenue", "invoice_count"])
+    money = [_whole(F.col(c), c) for c in ("gross_revenue", "net_revenue")]
+    return (
+        found.select("sales_rep_name", *money, "customers", F.col("invoice_count").alias("invoices"))
+        .orderBy(F.desc_nulls_first("gross_revenue"), F.asc_nulls_last("sales_rep_name"))
+        .limit(TOP_N)
+    )
+
+
+def payroll_rolled(bitmaps: DataFrame) -> DataFrame:
+    """``payroll`` from the stored bitmaps."""
+    grain, money = ["pay_month", "pay_year", "department", "pay_type"], ["gross_pay", "tax_withheld", "net_pay"]
+    found = roll_up(bitmaps, grain, "headcount", money)
+    return found.select(*grain, *[_whole(F.col(c), c) for c in money], "headcount").orderBy(
+        F.asc_nulls_last("pay_month"), "department", "pay_type"
+    )
+
+
+def payroll_annual_rolled(bitmaps: DataFrame) -> DataFrame:
+    """``payroll_annual`` from the stored bitmaps."""
+    grain = ["pay_year", "department", "pay_type"]
+    found = roll_up(bitmaps, grain, "headcount", ["gross_pay"])
+    return found.select(*grain, _whole(F.col("gross_pay"), "gross_pay"), "headcount").orderBy(
+        F.asc_nulls_last("pay_year"), "department", "pay_type"
+    )

@@ -22,6 +22,7 @@ from ledgermill.functions.columns import (
     with_variance,
 )
 from ledgermill.operators.facts import standard_balance
+from ledgermill.operators.prefix import running_total
 
 PNL_TYPES = ["REVENUE", "COGS", "OPEX"]
 BALANCE_TYPES = ["ASSET", "LIABILITY", "EQUITY"]
@@ -229,8 +230,9 @@ def rpt_cash_flow(fact: DataFrame) -> DataFrame:
     """Direct-method cash flow of the cash account by month and transaction type.
 
     The ledger is filtered and summed first. The cumulative balance then runs
-    over all rows in month order (months x transaction types, a few hundred
-    rows), with category and type breaking ties within a month.
+    over all rows in month order, with category and type breaking ties within a
+    month: summed by ranges of that order, however many transaction types there are
+    (the summed rows are written once while the plan is built).
     """
     kind = F.col("transaction_type")
     payroll = kind.isin("PAYROLL_SALARY", "PAYROLL_BONUS")
@@ -253,8 +255,8 @@ def rpt_cash_flow(fact: DataFrame) -> DataFrame:
         .withColumn("cash_flow_category", category)
         .withColumn("category_sort_key", sort_key)
     )
-    in_order = by_month(extra=("category_sort_key", "transaction_type"))
-    flow = monthly.withColumn("cumulative_cash_balance", F.sum("net_cash_movement").over(running(in_order)))
+    in_order = [F.col(c).asc_nulls_last() for c in ("entry_month", "category_sort_key", "transaction_type")]
+    flow = running_total(monthly, in_order, "net_cash_movement", "cumulative_cash_balance")
     by_category = by_month("cash_flow_category", extra=("transaction_type",))
     flow = with_variance(
         flow, "net_cash_movement", by_category, 1, "prior_month_net_cash", "mom_cash_variance", "mom_cash_variance_pct"

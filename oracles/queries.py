@@ -165,6 +165,8 @@ ORDER BY total_spend DESC NULLS FIRST, vendor_name, vendor_category, expense_acc
 FROM rpt_payroll_burn GROUP BY ALL""",
 }
 
+SERVING |= {f"{n}_bitmaps": SERVING[n] for n in ("mrr_trend", "revenue_by_segment", "revenue_by_rep", "payroll", "payroll_annual")}
+
 UNBALANCED = """SELECT transaction_ref, CAST(sum(debit_amount) - sum(credit_amount) AS DOUBLE) AS imbalance
 FROM {source} GROUP BY transaction_ref HAVING abs(sum(debit_amount) - sum(credit_amount)) > 0.01"""
 
@@ -249,6 +251,12 @@ FROM raw_journal_entries WHERE account_code IN ('5000', '5100', '5200', '5300')
     "churn_summary": f"""SELECT count(CASE WHEN status = 'Churned' THEN 1 END) AS churned, {N} AS total,
   {pct("count(CASE WHEN status = 'Churned' THEN 1 END)", "count(*)", 1)} AS churn_pct FROM raw_subscriptions""",
 }
+DERIVED["fact_invoices_bucketed"] = doubles("fact_invoices", *LINE_MONEY)
+_DAYS = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderdate IS NOT NULL"
+_RUNS = "raw_subscriptions ON start_date <= day AND (end_date IS NULL OR end_date > day)"
+DERIVED["subscriptions_on_days"] = f"""SELECT day, CAST(count(subscription_id) AS BIGINT) AS active_subs, CAST(coalesce(sum(mrr), 0) AS DOUBLE) AS mrr
+FROM ({_DAYS}) d LEFT JOIN {_RUNS} GROUP BY day"""
+DERIVED["interval_join"] = f"SELECT day, subscription_id FROM ({_DAYS}) d JOIN {_RUNS} WHERE day(day) = 1"
 DERIVED["annual_summary"] = f"""SELECT year, CAST(sub AS DOUBLE) AS subscription_revenue, CAST(svc AS DOUBLE) AS services_revenue,
   CAST(sub + svc AS DOUBLE) AS total_revenue, CAST(cogs AS DOUBLE) AS cogs, CAST(pay - pay_cogs AS DOUBLE) AS payroll_opex,
   CAST(spend - ven_cogs AS DOUBLE) AS vendor_opex, active_subs, CAST(sub + svc - cogs AS DOUBLE) AS gross_profit,
