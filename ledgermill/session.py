@@ -91,6 +91,16 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, in place of one that is there."""
+    files, at = file_system(spark, path)
+    stream = files.create(at, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, at = file_system(spark, path)
     return files.exists(at)
