@@ -1,10 +1,16 @@
-"""Line dedup by windows: shared runs of lines are found by their windows' content and later ones deleted.
-
-DataFrame operations only. Windows are measured in words: from every line on, the
-fewest following (and, the other way, preceding) lines that hold ``least_words``. Windows
-are joined on hashes of their whole content, so two texts that share a run of lines with
-that many words share the windows inside it, whatever surrounds the run. This is not
-winnowing: every window is kept, and its smallest line hash is only a part of the key.
+"""Line dedup by winnowing: least line hashes of windows find shared runs of lines, and later runs are deleted.
+
+DataFrame operations only. Windows are measured in words: from every line on, the fewest
+lines that hold ``least_words``. The position of each window's least line hash is kept
+once as a fingerprint. Two runs of equal lines with that many words hold a window each
+with the same lines, and so the same fingerprint: every shared run is found, whatever
+surrounds it. Fingerprints that stand at several positions are joined, and the match is
+extended both ways: from the lines of a window with such a fingerprint, forwards and
+backwards, every window that equals an earlier one line by line is part of a repeat.
+
+A fingerprint is not compared with its first occurrence alone, as a plainer form would:
+its line may first stand in other surroundings, and the run that two later documents
+share around it would be lost. Windows are compared by their whole content instead.
 """
 
 from __future__ import annotations
@@ -37,37 +43,57 @@ def line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def windows(lines: DataFrame, least_words: int) -> DataFrame:
-    """(way, doc, first, last, fingerprint, content...) of every window of lines that reaches ``least_words``."""
-
-    def one(way: int, frame, first: Column, last: Column) -> DataFrame:
-        return lines.select(
-            F.lit(way).alias("way"),
-            "doc",
-            first.alias("first"),
-            last.alias("last"),
-            F.sum("words").over(frame).alias("held"),
-            F.min("hash").over(frame).alias("fingerprint"),
-            F.xxhash64(F.collect_list("hash").over(frame)).alias("content"),
-            F.xxhash64(F.collect_list("check").over(frame)).alias("content_check"),
-        ).filter(F.col("held") >= least_words)
+    """(way, doc, first, last, fingerprint, picked, content, content_check) of every window that reaches ``least_words``.
 
+    Windows forwards (way 0) from each line, and those backwards (way 1) that hold several
+    lines. The least hash's position never goes back from one window to the next, so
+    ``picked`` marks the first window of each: its fingerprint is a new one. A backwards
+    window has the fingerprint of the forward window at its first line, which lies in it.
+    """
+    by_start, by_end = Window.partitionBy("doc").orderBy("before"), Window.partitionBy("doc").orderBy("upto")
     # Lines after this one belong to the window while the words before them, counted from here, are too few.
-    ahead = Window.partitionBy("doc").orderBy("before").rangeBetween(0, least_words - 1)
-    upto = (F.col("before") + F.col("words")).alias("upto")
-    behind = Window.partitionBy("doc").orderBy("upto").rangeBetween(-(least_words - 1), 0)
-    lines = lines.withColumn("upto", upto)
-    return one(0, ahead, F.col("seq"), F.max("seq").over(ahead)).unionByName(
-        one(1, behind, F.min("seq").over(behind), F.col("seq"))
+    ahead, behind = by_start.rangeBetween(0, least_words - 1), by_end.rangeBetween(-(least_words - 1), 0)
+
+    def content(frame) -> list[Column]:
+        return [F.xxhash64(F.collect_list(c).over(frame)) for c in ("hash", "check")]
+
+    least = F.min(F.struct("hash", (-F.col("seq")).alias("at"))).over(ahead)  # the last of equal hashes
+    found = lines.withColumn("upto", F.col("before") + F.col("words")).withColumns(
+        {"least": least, "last": F.max("seq").over(ahead), "enough": F.sum("words").over(ahead) >= least_words}
+        | dict(zip(("ahead", "ahead_check"), content(ahead)))
+    )
+    fresh = F.coalesce(F.lag("least.at").over(by_start) != F.col("least.at"), F.lit(True))
+    found = found.withColumn("picked", fresh & F.col("enough")).withColumns(
+        {"first": F.min("seq").over(behind), "enough_back": F.sum("words").over(behind) >= least_words, "least_back": F.first("least").over(behind)}
+        | dict(zip(("back", "back_check"), content(behind)))
+    )
+
+    def window(way, first, last, fingerprint, picked, text, check) -> Column:
+        return F.struct(
+            F.lit(way).alias("way"), F.col(first).alias("first"), F.col(last).alias("last"), F.col(fingerprint).alias("fingerprint"),
+            picked.alias("picked"), F.col(text).alias("content"), F.col(check).alias("content_check"),
+        )
+
+    both = F.array(
+        F.when(F.col("enough"), window(0, "seq", "last", "least.hash", F.col("picked"), "ahead", "ahead_check")),
+        F.when(
+            F.col("enough_back") & (F.col("first") < F.col("seq")),
+            window(1, "first", "seq", "least_back.hash", F.lit(False), "back", "back_check"),
+        ),
     )
+    return found.select("doc", F.explode(F.filter(both, lambda w: w.isNotNull())).alias("w")).select("doc", "w.*")
 
 
 def repeats(found: DataFrame) -> DataFrame:
     """Windows that were seen before, with the document and line where they were seen first.
 
-    Positions are joined on the fingerprint and the window around it. Each joins its first
-    occurrence only, found by a map-side combined minimum, so a line that stands in every
-    document makes one row a window and no pairs.
+    Only windows whose fingerprint stands at several positions can be; counting positions
+    is combined on the map side. Of those each is compared with the first window of equal
+    content, found by a map-side combined minimum, so a line that stands in every document
+    makes one row a window and no pairs.
     """
+    shared = found.filter("picked").groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
+    found = found.join(shared, "fingerprint", "left_semi")
     same = ["way", "fingerprint", "content", "content_check"]
     # Null keys come last, so that documents with a key hold the first occurrence.
     at = F.struct(F.col("doc.key").isNull().alias("none"), "doc", "first")
@@ -75,11 +101,11 @@ def repeats(found: DataFrame) -> DataFrame:
     return found.join(firsts, same).filter(at != F.col("origin")).select("way", "doc", "first", "last", "origin")
 
 
-def repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least_words: int = 50) -> DataFrame:
+def repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least_words: int = 20) -> DataFrame:
     """(doc, positions): the lines of every document to be deleted, by their sorted positions from 0.
 
-    Windows reach forwards from a run's first lines and backwards from its last, so their
-    union is the whole run: matches extend both ways as far as lines agree.
+    Windows reach forwards from a run's first lines and backwards from its last, so the
+    union of those that repeat is the whole run: a match goes both ways as far as lines agree.
     """
     lines = store(line_rows(docs, key, text), "lines")
     runs = repeats(store(windows(lines, least_words), "windows")).select("doc", "first", "last").distinct()
@@ -95,17 +121,20 @@ def mask(positions: Column) -> Column:
 
 
 def drop_repeated_lines(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", least_words: int = 50, lines: str = "n_lines", deleted: str = "n_deleted"
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", least_words: int = 20, lines: str = "n_lines", deleted: str = "n_deleted"
 ) -> DataFrame:
     """``docs`` with repeated runs of lines cut out of ``text``, the number of its lines and of those deleted.
 
     A line goes if it lies in a run of consecutive lines with ``least_words`` words or more
     that already stands earlier: in a document with a smaller key, or further up in the
     same one. Lines compare by their text without white space around it; lines without a
-    word are skipped over and stay. Equal keys are told apart by a digest of the text, and
+    word are skipped over and stay. Passages below ``least_words`` stay, and so does the part
+    of a passage that shares a line with other text, since lines are compared as a whole.
+    Equal keys are told apart by a digest of the text, and
     rows equal in both are one document, each with the same result. Null keys come last. A
-    null text stays null with no lines, an empty text has one. Columns that have the
-    result names already are replaced.
+    null text stays null with no lines, an empty text has one. Texts of any number of lines
+    and lines of any length are read as a whole; one document's lines are sorted in one
+    task. Columns that have the result names already are replaced. An empty table gives no rows.
     """
     docs = docs.drop(lines, deleted)
     gone = repeated_lines(docs, key=key, text=text, least_words=least_words)

@@ -67,7 +67,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that stand earlier."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return line_dedup.drop_repeated_lines(docs, least_words=50)
+    return line_dedup.drop_repeated_lines(docs, least_words=20)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +203,7 @@ SELECT p.doc_id, p.size, p.source_size, p.target,
 FROM placed p JOIN in_turn t ON t.source IS NOT DISTINCT FROM p.source AND t.block = p.block
 LEFT JOIN cut c ON c.source IS NOT DISTINCT FROM p.source AND c.block = p.block
 """,
-    # The rule itself instead of the method: all runs that grow from a line until they hold 50 words, either way.
+    # The rule itself instead of the method: all runs that grow from a line until they hold 20 words, either way.
     "op6_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS position
@@ -217,12 +217,12 @@ WITH lines AS (
   FROM trimmed WHERE words > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY position)
 ), runs AS (
   SELECT doc_id, seq AS first, max(seq) OVER w AS last, sum(words) OVER w AS held, 0 AS way, list(line) OVER w AS content
-  FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING)
   UNION ALL
   SELECT doc_id, min(seq) OVER w, seq, sum(words) OVER w, 1, list(line) OVER w
-  FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+  FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 19 PRECEDING AND CURRENT ROW)
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY way, content ORDER BY doc_id, first) AS nth FROM runs WHERE held >= 50
+  SELECT *, row_number() OVER (PARTITION BY way, content ORDER BY doc_id, first) AS nth FROM runs WHERE held >= 20
 ), gone AS (
   SELECT DISTINCT doc_id, unnest(generate_series(first, last)) AS seq FROM placed WHERE nth > 1
 ), marked AS (

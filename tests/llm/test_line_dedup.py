@@ -57,6 +57,33 @@ def test_a_common_short_line_stays(docs):
     assert cleaned(docs(*rows)) == dict(rows)
 
 
+def test_one_line_below_fifty_words_goes_from_all_but_the_first(docs):
+    line = " ".join(f"w{i}" for i in range(49))
+    got = line_dedup.drop_repeated_lines(docs(*((i, f"{line} own {i}\n{line}") for i in range(200)))).collect()
+    assert sum(r.n_deleted for r in got) == 199 and {r.doc_id for r in got if not r.n_deleted} == {0}
+
+
+def test_fingerprints_are_few_and_shared_by_equal_runs(spark, docs):
+    rng = random.Random(8)
+    lines = [f"{rng.randrange(10**6)} {rng.randrange(10**6)}" for _ in range(400)]
+    shared = lines[100:112]  # 24 words
+    texts = [(1, "\n".join(lines)), (2, "\n".join(["other words here", *shared, "and some more"]))]
+    found = line_dedup.windows(line_dedup.line_rows(docs(*texts), "doc_id", "text"), 20).collect()
+    picked = {(r.doc.key, r.fingerprint) for r in found if r.picked}
+    assert len([r for r in found if r.picked and r.doc.key == 1]) < 391 / 3  # windows of ten lines: about two in eleven
+    assert {f for d, f in picked if d == 1} & {f for d, f in picked if d == 2}
+    # Every window's fingerprint is among the picked ones of its document.
+    assert {(r.doc.key, r.fingerprint) for r in found} == picked
+
+
+def test_a_run_around_a_line_that_first_stands_elsewhere(docs):
+    # The common line is alone in the first document, and in the run that the other two share.
+    run = ["first part of a run that two documents have", "common", "second part of the run that two documents have"]
+    rows = [(1, "common\n" + "alone " * 30), (2, "\n".join(["own two", *run])), (3, "\n".join([*run, "own three"]))]
+    got = cleaned(docs(*rows), least_words=12)
+    assert got == {1: rows[0][1], 2: rows[1][1], 3: "own three"}
+
+
 def test_a_passage_of_many_words_stays_in_the_first_document_only(docs):
     passage = " ".join(f"word{i}" for i in range(55))
     rows = [(i, f"own {i}\n{passage}\nend {i}") for i in range(200)]
