@@ -33,8 +33,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix draws them."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    """Documents as often as the mix draws them, shard after shard in shuffled order."""
+    return mixing.in_shards(mixing.mix_sources(docs)).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm.common import col, discard, free_name, n_words, store
+from ledgermill.operators.prefix import BEFORE, RANGE, before_ranges, dense_ids, in_ranges, running_total
 
 CELLS = 1 << 16
 WEIGHTS = (5, 2, 1)  # of sources in code-point order, repeating
@@ -25,37 +26,47 @@ def hashed(*parts: Column | str | int) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 4), 16, 10).cast("int")
 
 
+def who(key: str, text: str) -> Column:
+    """What tells documents apart: the key, or a digest of the text where that is null."""
+    return F.coalesce(col(key).cast("string"), F.md5(col(text).cast("binary")), F.lit(""))
+
+
 def cell(key: str, text: str, seed: int) -> Column:
-    """A document's cell in its source: by its key, or by its text where the key is null."""
-    return hashed(seed, F.coalesce(col(key).cast("string"), F.md5(col(text).cast("binary")), F.lit("")))
+    """A document's cell in its source."""
+    return hashed(seed, who(key, text))
+
+
+def turn_of(seed: int, turn: Column, document: Column) -> Column:
+    """The place of a copy in its shard's local shuffle: 60 hash bits."""
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit("shuffle"), turn, document)
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...], ceiling: float) -> DataFrame:
     """Add ``target`` to (source, source_size): shares of the whole by weight, none above ``ceiling`` times its size.
 
     The excess of sources at their ceiling goes to the others by weight. Sorted by the
-    level at which a source reaches its ceiling, those are a prefix, found with running sums.
+    level at which a source reaches its ceiling, those are a prefix. Sources are ranked
+    and summed up by ranges, so there may be as many as there are hosts.
     """
-    turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1)
+    total = float(sources.agg(F.sum("source_size")).first()[0] or 0)
+    named = dense_ids(sources, "source", "rank").withColumnRenamed("source", "named")
+    ranked = sources.join(named, F.col("source") == F.col("named"), "left").drop("named")
+    last = ranked.filter("source IS NOT NULL").count()  # null comes after all names
+    turn = F.coalesce("rank", F.lit(last)) % len(weights)
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn + 1).cast("int"))
     most = (F.col("source_size") * ceiling).cast("double")
-    by_level = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
-    everything = Window.partitionBy(F.lit(1))
-    level = (F.col("total") - F.coalesce(F.sum("most").over(by_level.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))) / F.sum(
-        "weight"
-    ).over(by_level.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    capped = F.col("most") / F.col("weight") <= F.col("level")
-    spare = F.sum(F.when(~F.col("capped"), F.col("weight"))).over(everything)
-    left = F.col("total") - F.coalesce(F.sum(F.when(F.col("capped"), F.col("most"))).over(everything), F.lit(0.0))
-    return (
-        sources.withColumn("weight", weight)
-        .withColumn("most", most)
-        .withColumn("total", F.sum(F.col("source_size").cast("double")).over(everything))
-        .withColumn("level", level)
-        .withColumn("capped", capped)
-        .withColumn("target", F.when(F.col("capped"), F.col("most")).otherwise(F.col("weight") * left / spare))
-        .select("source", "source_size", "target")
-    )
+    ranked = ranked.withColumns({"weight": weight, "most": most})
+    order = [F.col("most") / F.col("weight"), F.col("source").asc_nulls_last()]
+    summed = running_total(running_total(ranked, order, "most", "most_upto"), order, "weight", "weight_upto")
+    all_weight = float(ranked.agg(F.sum("weight")).first()[0] or 0)
+    before = F.col("most_upto") - F.col("most")
+    level = (F.lit(total) - before) / (F.lit(all_weight) - F.col("weight_upto") + F.col("weight"))
+    summed = summed.withColumn("capped", F.col("most") / F.col("weight") <= level)
+    found = summed.agg(F.sum(F.when(~F.col("capped"), F.col("weight"))).alias("spare"), F.sum(F.when(F.col("capped"), F.col("most"))).alias("full"))
+    spare, full = found.first() or (None, None)
+    shared = F.col("weight") * F.lit(total - (full or 0.0)) / F.lit(spare)
+    return summed.select("source", "source_size", F.when(F.col("capped"), F.col("most")).otherwise(shared).alias("target"))
 
 
 @dataclass
@@ -107,7 +118,8 @@ def plan(
     """
     cells = store(sized.groupBy("source", "cell").agg(F.sum("size").alias("size")), "mix_cells")
     sources = targets(cells.groupBy("source").agg(F.sum("size").alias("source_size")), weights, ceiling)
-    share = F.col("source_size") / F.nullif(F.sum("source_size").over(Window.partitionBy(F.lit(1))), F.lit(0))
+    everything = cells.agg(F.sum("size")).first()[0] or 0
+    share = F.col("source_size") / F.nullif(F.lit(everything).cast("long"), F.lit(0).cast("long"))
     passes = F.when(F.col("source_size") > 0, F.least(F.lit(ceiling), F.floor(F.col("target") / F.col("source_size")))).otherwise(0)
     sources = store(
         sources.withColumn("blocks", F.greatest(F.lit(1), F.least(F.lit(CELLS), F.coalesce(F.round(share * blocks), F.lit(1)))).cast("int"))
@@ -148,39 +160,50 @@ def split(balls: DataFrame, shards: int, seed: int) -> DataFrame:
     """Deal drawn blocks to shards down a binary tree; every node's left part is a multivariate hypergeometric draw.
 
     A node's blocks lie in an urn, in random order; the left child gets its exact share of
-    them from the top, which draws its quota of each source at once. The urns hold one
-    small row a block, a number that the plan's ``blocks`` bounds.
+    them from the top, which draws its quota of each source at once. The urns of a level
+    are ordered by ranges: places are counted inside each range and from range to range,
+    so no task holds an urn.
     """
     state = balls.withColumns({"low": F.lit(0), "high": F.lit(shards)})
     for level in range(max(1, shards - 1).bit_length()):
         order = hashed(seed, "urn", level, F.coalesce("source", F.lit("\0")), F.col("block"), F.col("pass"))
-        urn = Window.partitionBy("low")
+        by = [F.col(c) for c in ("low", "order", "source", "block", "pass")]
+        ranged = in_ranges(state.withColumn("order", order), by)
+        held = ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_total"))
+        inside = F.row_number().over(Window.partitionBy(RANGE).orderBy(*by))
+        # Where each urn begins, from one row a node of the level: at most as many as shards.
+        urns, begins, at = ranged.groupBy("low").count().collect(), {}, 0
+        for low, n in sorted((r["low"], r["count"]) for r in urns):
+            begins[low] = (at, n)
+            at += n
+        begin = F.element_at(F.create_map(*[F.lit(x) for low, (at, _) in begins.items() for x in (low, at)]), F.col("low")) if begins else F.lit(0)
+        size = F.element_at(F.create_map(*[F.lit(x) for low, (_, n) in begins.items() for x in (low, n)]), F.col("low")) if begins else F.lit(0)
         middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-        mine = F.floor(F.count("*").over(urn) * (F.col("middle") - F.col("low")) / (F.col("high") - F.col("low")))
-        left = F.row_number().over(urn.orderBy("order", "source", "block", "pass")) <= F.col("mine")
+        mine = F.floor(size * (F.col("middle") - F.col("low")) / (F.col("high") - F.col("low")))
         state = (
-            state.withColumn("order", order)
+            ranged.withColumn("place", inside)
+            .join(before_ranges(held, "_total"), RANGE)
             .withColumn("middle", middle)
-            .withColumn("mine", mine)
-            .withColumn("left", left)
+            .withColumn("left", F.col("place") + F.col(BEFORE) - begin <= mine)
             .withColumns(
                 {
                     "low": F.when(F.col("left"), F.col("low")).otherwise(F.col("middle")),
                     "high": F.when(F.col("left"), F.greatest("middle", F.col("low") + 1)).otherwise(F.col("high")),
                 }
             )
-            .drop("order", "middle", "mine", "left")
+            .select(*state.columns)
         )
     return state.withColumnRenamed("low", "shard").drop("high")
 
 
 def sizes(docs: DataFrame, *, key: str, source: str, text: str, seed: int) -> DataFrame:
-    """(key, source, cell, size) of every row, stored: the one pass over the texts."""
+    """(key, source, cell, size, digest) of every row, stored: the one pass over the texts. ``digest`` stands in for a null key."""
     slim = docs.select(
         col(key).alias("key"),
         col(source).cast("string").alias("source"),
         cell(key, text, seed).alias("cell"),
         n_words(col(text)).alias("size"),
+        F.when(col(key).isNull(), who(key, text)).alias("digest"),
     )
     return store(slim, "mix_sizes")
 
@@ -188,10 +211,11 @@ def sizes(docs: DataFrame, *, key: str, source: str, text: str, seed: int) -> Da
 def mix_report(
     docs: DataFrame, *, key: str = "doc_id", source: str = "source", text: str = "text", shards: int = 8, seed: int = 1
 ) -> DataFrame:
-    """What the mix takes of every document: (key, size, source_size, target, taken, shards).
+    """What the mix takes of every document: (key, size, source_size, target, taken, shards, turns).
 
-    ``size`` counts words (null text: 0), ``taken`` the words drawn, repeats counted, and
-    ``shards`` lists where the copies go. Defined as in ``mix``.
+    ``size`` counts words (null text: 0), ``taken`` the words drawn, repeats counted;
+    ``shards`` lists where the copies go, pass by pass, and ``turns`` where each stands in
+    its shard's local shuffle. Defined as in ``mix_sources``.
     """
     slim = sizes(docs, key=key, source=source, text=text, seed=seed)
     mix = plan(slim, shards, seed)
@@ -205,6 +229,7 @@ def mix_report(
         "target",
         (F.col("size") * F.size("copies")).cast("long").alias("taken"),
         F.col("copies.shard").alias("shards"),
+        F.transform("copies", lambda c: turn_of(seed, c["pass"], F.coalesce(F.col("key").cast("string"), F.col("digest")))).alias("turns"),
     )
 
 
@@ -216,10 +241,10 @@ def mix_sources(
     Sources, in code-point order with null last, weigh 5, 2, 1, repeating. Together they
     give as many words as there are; no source gives more than three times its own, and
     what that leaves goes to the others by weight. A document comes at most three times.
-    Ordering a shard by ``turn`` is its local shuffle. Documents without words weigh
+    Ordering a shard by ``turn`` is its local shuffle, done by ``in_shards``. Documents without words weigh
     nothing and are drawn with their block; a source without any words is not drawn.
-    Repeated rows share a cell and are drawn alike. Empty input gives no rows. Columns
-    that have the result names already are replaced.
+    Repeated rows share a cell and are drawn alike. Texts of any length count as a whole.
+    Empty input gives no rows. Columns that have the result names already are replaced.
     """
     docs = docs.drop("shard", "pass", "turn")
     slim = sizes(docs, key=key, source=source, text=text, seed=seed)
@@ -227,7 +252,16 @@ def mix_sources(
     at, copies = free_name(docs, "mix_cell"), free_name(docs, "mix_drawn")
     placed = mix.place(docs.withColumn(at, cell(key, text, seed)), at, source, copies)
     copy = free_name(placed, "mix_copy")
-    turn = F.xxhash64(F.lit(seed), F.col(copy)["pass"], F.coalesce(col(key).cast("string"), col(text)))
+    turn = turn_of(seed, F.col(copy)["pass"], who(key, text))
     return placed.withColumn(copy, F.explode(copies)).select(
         *[col(c) for c in docs.columns], F.col(copy)["shard"].alias("shard"), F.col(copy)["pass"].alias("pass"), turn.alias("turn")
     )
+
+
+def in_shards(mixed: DataFrame) -> DataFrame:
+    """Rows of ``mix_sources`` as they are to be written: shard after shard, each in its shuffled order.
+
+    The range exchange cuts large shards into several files that follow one another.
+    """
+    order = ["shard", "turn"]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order)

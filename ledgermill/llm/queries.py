@@ -38,9 +38,13 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
+    """Words that the mix takes of every document, and for every copy its shard and its place in the shard's shuffle."""
     report = mixing.mix_report(documents(spark, sf_dir), shards=SHARDS)
-    return report.select("doc_id", "size", "source_size", "target", "taken")
+    return report.select(
+        "doc_id", "size", "source_size", "target", "taken",
+        F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"),
+        F.array_join(F.col("turns").cast("array<string>"), ",").alias("turns"),
+    )
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,11 +159,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_filter_audit": op13_filter_audit,
 }
 
+def _dealt(level: int) -> str:
+    """One level of the tree: the top of every urn, in hashed order, goes to its left part."""
+    return f""", urn{level + 1} AS (
+  SELECT source, block, pass, upto, CASE WHEN nth <= mine THEN low ELSE middle END AS low,
+    CASE WHEN nth <= mine THEN greatest(middle, low + 1) ELSE high END AS high
+  FROM (
+    SELECT *, (low + high) // 2 AS middle, floor(count(*) OVER (PARTITION BY low) * ((low + high) // 2 - low)::DOUBLE / (high - low)) AS mine,
+      row_number() OVER (PARTITION BY low ORDER BY ord, source NULLS FIRST, block, pass) AS nth
+    FROM (
+      SELECT *, CAST('0x' || substr(md5('1:urn:{level}:' || coalesce(source, chr(0)) || ':' || block || ':' || pass), 1, 4) AS INTEGER) AS ord
+      FROM urn{level}
+    ) x
+  ) y
+)"""
+
+
 ORACLE_SQL: dict[str, str] = {
-    # The same cells, cuts and turns by md5; the level of targets by comparing sources with each other.
+    # The same cells, cuts, urns and turns by md5; the level of targets by comparing sources with each other.
     "op3_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         coalesce(CAST(doc_id AS VARCHAR), md5(text), '') AS text_key,
          CAST('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), md5(text), '')), 1, 4) AS INTEGER) AS cell
   FROM documents
 ), per_source AS (
@@ -187,21 +208,34 @@ WITH sized AS (
   SELECT s.*, p.source_size, p.target, p.passes, p.target - p.passes * p.source_size AS rest, (s.cell * p.blocks) // 65536 AS block
   FROM sized s JOIN passes p ON p.source IS NOT DISTINCT FROM s.source
 ), blocks AS (
-  SELECT source, block, rest, sum(size) AS size,
+  SELECT source, block, rest, passes, sum(size) AS size,
     CAST('0x' || substr(md5('1:turn:' || coalesce(source, chr(0)) || ':' || block), 1, 4) AS INTEGER) AS turn
   FROM placed GROUP BY ALL
 ), in_turn AS (
-  SELECT source, block, size, rest - (sum(size) OVER (PARTITION BY source ORDER BY turn, block) - size) AS room FROM blocks
+  SELECT source, block, passes, size, rest - (sum(size) OVER (PARTITION BY source ORDER BY turn, block) - size) AS room FROM blocks
 ), cells AS (
   SELECT p.source, p.block, p.cell, any_value(t.room) AS room,
     sum(sum(p.size)) OVER (PARTITION BY p.source, p.block ORDER BY p.cell) - sum(p.size) AS before, sum(p.size) AS size
   FROM placed p JOIN in_turn t ON t.source IS NOT DISTINCT FROM p.source AND t.block = p.block
   WHERE t.room > 0 AND t.room < t.size GROUP BY p.source, p.block, p.cell
-), cut AS (SELECT source, block, max(cell) AS upto FROM cells WHERE before + size / 2 <= room GROUP BY ALL)
-SELECT p.doc_id, p.size, p.source_size, p.target,
-  CAST(p.size * (p.passes + CASE WHEN t.room >= t.size AND t.size > 0 THEN 1 WHEN p.cell <= c.upto THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM placed p JOIN in_turn t ON t.source IS NOT DISTINCT FROM p.source AND t.block = p.block
-LEFT JOIN cut c ON c.source IS NOT DISTINCT FROM p.source AND c.block = p.block
+), cut AS (SELECT source, block, max(cell) AS upto FROM cells WHERE before + size / 2 <= room GROUP BY ALL
+), urn0 AS (
+  SELECT source, block, unnest(range(passes + CASE WHEN room >= size AND size > 0 THEN 1 ELSE 0 END)) AS pass, 65536 AS upto, 0 AS low, 8 AS high
+  FROM in_turn
+  UNION ALL
+  SELECT t.source, t.block, t.passes, c.upto + 1, 0, 8 FROM in_turn t JOIN cut c ON c.source IS NOT DISTINCT FROM t.source AND c.block = t.block
+)""" + "".join(_dealt(level) for level in range(3)) + r""", copies AS (
+  SELECT p.doc_id, p.cell, p.source, p.text_key, u.pass, u.low AS shard,
+    CAST('0x' || substr(md5('1:shuffle:' || u.pass || ':' || p.text_key), 1, 15) AS BIGINT) AS turn
+  FROM (SELECT DISTINCT doc_id, cell, source, block, text_key FROM placed) p
+  JOIN urn3 u ON u.source IS NOT DISTINCT FROM p.source AND u.block = p.block AND p.cell < u.upto
+), listed AS (
+  SELECT doc_id, source, text_key, count(*) AS n, string_agg(shard, ',' ORDER BY pass) AS shards, string_agg(turn, ',' ORDER BY pass) AS turns
+  FROM copies GROUP BY ALL
+)
+SELECT p.doc_id, p.size, p.source_size, p.target, CAST(p.size * coalesce(c.n, 0) AS BIGINT) AS taken,
+  coalesce(c.shards, '') AS shards, coalesce(c.turns, '') AS turns
+FROM placed p LEFT JOIN listed c ON c.doc_id IS NOT DISTINCT FROM p.doc_id AND c.source IS NOT DISTINCT FROM p.source AND c.text_key = p.text_key
 """,
     # The rule itself instead of the method: all runs that grow from a line until they hold 20 words, either way.
     "op6_line_dedup": r"""
