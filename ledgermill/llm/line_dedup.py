@@ -42,49 +42,51 @@ def line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def windows(lines: DataFrame, least_words: int) -> DataFrame:
-    """(way, doc, first, last, fingerprint, picked, content, content_check) of every window that reaches ``least_words``.
+def forward_windows(lines: DataFrame, least_words: int) -> DataFrame:
+    """``lines`` with the window that each begins: its ``last`` line, ``fingerprint`` and content, if it is long ``enough``.
 
-    Windows forwards (way 0) from each line, and those backwards (way 1) that hold several
-    lines. The least hash's position never goes back from one window to the next, so
-    ``picked`` marks the first window of each: its fingerprint is a new one. A backwards
-    window has the fingerprint of the forward window at its first line, which lies in it.
+    The least hash's position never goes back from one window to the next, so ``picked``
+    marks the first window of each: its fingerprint is a new one.
     """
-    by_start, by_end = Window.partitionBy("doc").orderBy("before"), Window.partitionBy("doc").orderBy("upto")
+    by_start = Window.partitionBy("doc").orderBy("before")
     # Lines after this one belong to the window while the words before them, counted from here, are too few.
-    ahead, behind = by_start.rangeBetween(0, least_words - 1), by_end.rangeBetween(-(least_words - 1), 0)
-
-    def content(frame) -> list[Column]:
-        return [F.xxhash64(F.collect_list(c).over(frame)) for c in ("hash", "check")]
-
+    ahead = by_start.rangeBetween(0, least_words - 1)
     least = F.min(F.struct("hash", (-F.col("seq")).alias("at"))).over(ahead)  # the last of equal hashes
-    found = lines.withColumn("upto", F.col("before") + F.col("words")).withColumns(
-        {"least": least, "last": F.max("seq").over(ahead), "enough": F.sum("words").over(ahead) >= least_words}
-        | dict(zip(("ahead", "ahead_check"), content(ahead)))
+    found = lines.withColumns(
+        {
+            "least": least,
+            "last": F.max("seq").over(ahead),
+            "enough": F.sum("words").over(ahead) >= least_words,
+            "content": F.xxhash64(F.collect_list("hash").over(ahead)),
+            "content_check": F.xxhash64(F.collect_list("check").over(ahead)),
+        }
     )
     fresh = F.coalesce(F.lag("least.at").over(by_start) != F.col("least.at"), F.lit(True))
-    found = found.withColumn("picked", fresh & F.col("enough")).withColumns(
-        {"first": F.min("seq").over(behind), "enough_back": F.sum("words").over(behind) >= least_words, "least_back": F.first("least").over(behind)}
-        | dict(zip(("back", "back_check"), content(behind)))
+    return found.withColumn("picked", fresh & F.col("enough")).select(
+        *lines.columns, "last", F.col("least.hash").alias("fingerprint"), "picked", "enough", "content", "content_check"
     )
 
-    def window(way, first, last, fingerprint, picked, text, check) -> Column:
-        return F.struct(
-            F.lit(way).alias("way"), F.col(first).alias("first"), F.col(last).alias("last"), F.col(fingerprint).alias("fingerprint"),
-            picked.alias("picked"), F.col(text).alias("content"), F.col(check).alias("content_check"),
-        )
-
-    both = F.array(
-        F.when(F.col("enough"), window(0, "seq", "last", "least.hash", F.col("picked"), "ahead", "ahead_check")),
-        F.when(
-            F.col("enough_back") & (F.col("first") < F.col("seq")),
-            window(1, "first", "seq", "least_back.hash", F.lit(False), "back", "back_check"),
-        ),
+
+def backward_windows(lines: DataFrame, least_words: int) -> DataFrame:
+    """(doc, first, last, fingerprint, content, content_check) of every window of several lines that ends at a line.
+
+    Its fingerprint is that of the forward window at its first line, which lies in it.
+    """
+    behind = Window.partitionBy("doc").orderBy(F.col("before") + F.col("words")).rangeBetween(-(least_words - 1), 0)
+    # A line that is long enough alone is no window of several; those before it do not count for it.
+    found = lines.select(
+        "doc",
+        F.min("seq").over(behind).alias("first"),
+        F.col("seq").alias("last"),
+        F.first("fingerprint").over(behind).alias("fingerprint"),
+        F.xxhash64(F.collect_list("hash").over(behind)).alias("content"),
+        F.xxhash64(F.collect_list("check").over(behind)).alias("content_check"),
+        (F.sum("words").over(behind) >= least_words).alias("enough"),
     )
-    return found.select("doc", F.explode(F.filter(both, lambda w: w.isNotNull())).alias("w")).select("doc", "w.*")
+    return found.filter("enough AND first < last").drop("enough")
 
 
-def repeats(found: DataFrame) -> DataFrame:
+def repeats(lines: DataFrame, back: DataFrame) -> DataFrame:
     """Windows that were seen before, with the document and line where they were seen first.
 
     Only windows whose fingerprint stands at several positions can be; counting positions
@@ -92,8 +94,9 @@ def repeats(found: DataFrame) -> DataFrame:
     content, found by a map-side combined minimum, so a line that stands in every document
     makes one row a window and no pairs.
     """
-    shared = found.filter("picked").groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
-    found = found.join(shared, "fingerprint", "left_semi")
+    shared = lines.filter("picked").groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
+    ahead = lines.filter("enough").select(F.lit(0).alias("way"), "doc", F.col("seq").alias("first"), "last", "fingerprint", "content", "content_check")
+    found = ahead.unionByName(back.withColumn("way", F.lit(1))).join(shared, "fingerprint", "left_semi")
     same = ["way", "fingerprint", "content", "content_check"]
     # Null keys come last, so that documents with a key hold the first occurrence.
     at = F.struct(F.col("doc.key").isNull().alias("none"), "doc", "first")
@@ -107,8 +110,9 @@ def repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     Windows reach forwards from a run's first lines and backwards from its last, so the
     union of those that repeat is the whole run: a match goes both ways as far as lines agree.
     """
-    lines = store(line_rows(docs, key, text), "lines")
-    runs = repeats(store(windows(lines, least_words), "windows")).select("doc", "first", "last").distinct()
+    lines = store(forward_windows(line_rows(docs, key, text), least_words), "lines")
+    back = store(backward_windows(lines, least_words), "windows")
+    runs = repeats(lines, back).select("doc", "first", "last").distinct()
     covered = runs.select("doc", F.explode(F.sequence("first", "last")).alias("seq")).distinct()
     hit = lines.join(covered, ["doc", "seq"], "left_semi")
     return hit.groupBy("doc").agg(F.sort_array(F.collect_list("position")).alias("positions"))

@@ -68,7 +68,7 @@ def test_fingerprints_are_few_and_shared_by_equal_runs(spark, docs):
     lines = [f"{rng.randrange(10**6)} {rng.randrange(10**6)}" for _ in range(400)]
     shared = lines[100:112]  # 24 words
     texts = [(1, "\n".join(lines)), (2, "\n".join(["other words here", *shared, "and some more"]))]
-    found = line_dedup.windows(line_dedup.line_rows(docs(*texts), "doc_id", "text"), 20).collect()
+    found = line_dedup.forward_windows(line_dedup.line_rows(docs(*texts), "doc_id", "text"), 20).filter("enough").collect()
     picked = {(r.doc.key, r.fingerprint) for r in found if r.picked}
     assert len([r for r in found if r.picked and r.doc.key == 1]) < 391 / 3  # windows of ten lines: about two in eleven
     assert {f for d, f in picked if d == 1} & {f for d, f in picked if d == 2}
