@@ -15,7 +15,6 @@ from ledgermill.llm.common import col, free_name, slices
 Q = 8  # characters of a q-gram; folded to a byte each, one fits a 64-bit word
 SHORTER = (8, 4, 2, 1)  # the longest of these for which the lemma says something is taken for an item
 SPACED = "\u0e00"  # scripts before this one put spaces between words
-WHOLE = {"least_chars": 1, "piece_chars": None}  # options: every item is looked for, and as a whole
 HASH_BITS = 22
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -217,10 +216,8 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int
         yield doc, item, edits, start, end
 
 
-def chunks(
-    benchmark: DataFrame, item: str, text: str, rate: float, least_chars: int, piece_chars: int | None, chunk_chars: int
-) -> Iterator[list[Index]]:
-    """Indexes over benchmark items, together over about ``chunk_chars`` characters.
+def chunks(benchmark: DataFrame, item: str, text: str, rate: float, chunk_chars: int) -> Iterator[list[Index]]:
+    """Indexes over benchmark items, together over about ``chunk_chars`` characters or one longer item.
 
     Rows come to the driver a partition at a time, so what is held and sent is bounded by
     the chunk and not by the benchmark.
@@ -230,16 +227,13 @@ def chunks(
     size = 0
     for r in rows.distinct().toLocalIterator():
         t = normalise(r["text"])
-        if len(t) < max(least_chars, 1):
+        if not t:
             continue
-        pieces = -(-len(t) // piece_chars) if piece_chars else 1
-        for i in range(pieces):
-            piece = t[i * len(t) // pieces : (i + 1) * len(t) // pieces]
-            if size + len(piece) > chunk_chars and held:
-                yield [Index(items, rate, q) for q, items in held.items()]
-                held, size = {}, 0
-            held.setdefault(gram_size(len(piece), rate), []).append((r["item"], piece))
-            size += len(piece)
+        if size + len(t) > chunk_chars and held:
+            yield [Index(items, rate, q) for q, items in held.items()]
+            held, size = {}, 0
+        held.setdefault(gram_size(len(t), rate), []).append((r["item"], t))
+        size += len(t)
     if held:
         yield [Index(items, rate, q) for q, items in held.items()]
 
@@ -270,8 +264,6 @@ def contamination(
     item: str = "item_id",
     item_text: str = "text",
     rate: float = 0.1,
-    least_chars: int = 32,
-    piece_chars: int | None = 1000,
     chunk_chars: int = 1 << 20,
     mark: str = "matches",
 ) -> DataFrame:
@@ -282,19 +274,18 @@ def contamination(
     region's character positions there. All such items are found: a region within the
     budget shares the number of q-grams that the lemma demands, in one band; the shorter
     the item, the shorter its q-grams. Items too short for a single edit must stand there as
-    whole words, where the script has spaces. Items of fewer than ``least_chars`` normalised
-    characters, and null and empty ones, are passed over. Items of more than ``piece_chars``
-    are cut into equal pieces, and a text that holds a piece holds the item; with None, an
-    item of any length must be held as a whole. WHOLE has the options under which every item
-    is sought by that one rule. A null or empty text holds nothing, an empty
+    whole words, where the script has spaces. Every item with a character other than white
+    space is sought, by this one rule at every length. A null or empty text holds nothing,
+    a text of any length is searched as a whole; an empty table gives no rows, an empty
     benchmark leaves every array empty. Repeated rows stay; benchmark rows that repeat
-    count once. A benchmark larger than ``chunk_chars`` is scanned in several passes.
+    count once. A column of ``docs`` that is called ``mark`` is replaced. A benchmark larger
+    than ``chunk_chars`` is scanned in several passes.
     """
     docs = docs.drop(mark)
     nothing = F.array().cast("array<struct<item:long,distance:long,start:long,end:long>>")
     parts = []
     out = docs
-    for k, indexes in enumerate(chunks(benchmark, item, item_text, rate, least_chars, piece_chars, chunk_chars)):
+    for k, indexes in enumerate(chunks(benchmark, item, item_text, rate, chunk_chars)):
         parts.append(free_name(out, f"matches_{k}"))
         out = scan(out, indexes, text, parts[-1])
     found = F.concat(nothing, *[F.col(p) for p in parts]) if parts else nothing

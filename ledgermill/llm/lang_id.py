@@ -189,7 +189,7 @@ def identify_language(
     the only bounded sample. Prediction reads whole texts in windows and averages their
     scores. A null text, one without a letter, and every text when there is no labelled
     row get ``und`` and 0. Repeated rows stay and get equal results; columns that already
-    have the result names are replaced.
+    have the result names are replaced. An empty table gives no rows.
     """
     learn = F.lit(True) if learn is None else learn
     model = train(sample_windows(docs, text, label, key, learn, per_label, per_document), epochs)

@@ -176,7 +176,7 @@ def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold
     marks texts of fewer than 50 words and those with over half of their words in
     repeated three-word windows; ``kept`` is false for them and else tells whether
     ``quality`` reaches ``threshold``. Null and empty texts have counts of 0, no votes and
-    fail the base rules. Repeated rows count each time. An empty table gives no rows.
+    fail the base rules; a text of any length is read as a whole. Repeated rows count each time. An empty table gives no rows.
     Only vote patterns and their numbers reach the driver, at most three to the power of
     the number of rules.
     """

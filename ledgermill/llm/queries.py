@@ -52,7 +52,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     data = F.coalesce("text", F.lit("")).cast("binary")
     slim = docs.select("doc_id", (F.octet_length(data) + 1).cast("long").alias("size"), F.crc32(data).alias("text_crc32"))
-    placed = sharding.shard_rows(slim, text="text_crc32", shards=SHARDS)
+    placed = sharding.shard_rows(slim, shards=SHARDS)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
@@ -61,7 +61,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds, with the region and its edit distance."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), **decontam.WHOLE)
+    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", F.explode("matches").alias("m")).select(
         "doc_id", F.col("m.item").alias("item_id"), F.col("m.distance").alias("distance"),
         F.col("m.start").alias("start"), F.col("m.end").alias("end"),

@@ -93,15 +93,13 @@ def number_rows(docs: DataFrame, order: list[Column], out: str) -> tuple[DataFra
     return numbered.drop(place, part, start), total
 
 
-def shard_rows(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", shards: int = 8, seed: int = 11
-) -> DataFrame:
+def shard_rows(docs: DataFrame, *, key: str = "doc_id", shards: int = 8, seed: int = 11) -> DataFrame:
     """Add ``shard`` (int) and ``slot`` (long) to every row: a reproducible shuffle over all rows.
 
     Rows are numbered by key, then by a digest of all columns; null keys come first. Row n
     goes to place p of the permutation, shard p modulo ``shards``, slot p divided by it: the
     counts of shards differ by one at most, and slots have no gaps. Wholly equal rows are
-    interchangeable. Null or empty texts are rows like others, an empty table gives none.
+    interchangeable. Null, empty or very long texts are rows like others, an empty table gives none.
     Columns that have the result names already are replaced.
     """
     docs = docs.drop("shard", "slot")

@@ -252,8 +252,13 @@ def components(
     smallest key reachable over links, the row's own included. Equal fingerprints are one
     point, so groups of copies are never paired up. Null, empty and blank texts have
     fingerprint 0, which links like any other; texts of fewer than ``shingle`` words are
-    one shingle. Repeated rows stay, each with the same result. Null keys sort last: they
-    take part in linking, and only a component without any other key has a null id.
+    one shingle, and all shingles of a text of any length count. Repeated rows stay, each
+    with the same result. Null keys sort last: they take part in linking, and only a
+    component without any other key has a null id. An empty table gives no rows.
+
+    A cell holds the fingerprints that agree in the counts of 16 segments; by estimate the
+    densest holds one in 65,536 of all distinct ones, which are compared with each other.
+    Beyond some 1e9 distinct fingerprints a larger ``spare`` makes more and smaller cells.
     """
     marks = fingerprints(docs.select(col(key).alias("key"), col(text).alias("text")), "text", shingle)
     marks = store(marks.select(F.struct(F.col("key").isNull().alias("none"), "key").alias("who"), "fingerprint"), "fingerprints")
@@ -271,7 +276,7 @@ def keep_one(
 
     Rows with the same key are told apart by a digest of their text; of rows equal in both
     the first by a digest of all columns stays, and of wholly equal rows any. Null keys
-    sort last, so a component of null keys keeps one row too.
+    sort last, so a component of null keys keeps one row too. An empty table gives no rows.
     """
     digest = free_name(docs, "text_digest")
     marked = docs.withColumn(digest, F.xxhash64(col(text)))

@@ -86,7 +86,7 @@ def limits(counts: DataFrame) -> DataFrame:
 def token_counts(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``limits`` of the encoded lengths of ``docs``.
 
-    Null and empty texts have length 0. Repeated rows count each time. An empty table
-    gives no rows. Other columns are not read.
+    Null and empty texts have length 0, a text of any length is encoded as a whole.
+    Repeated rows count each time. An empty table gives no rows. Other columns are not read.
     """
     return limits(histogram(lengths(docs, path, pattern, text)))

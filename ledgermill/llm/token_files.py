@@ -130,9 +130,20 @@ def encode_texts(texts: list[bytes], path: str, by_word: bool, end: int | None)
     return np.fromiter((i for x in found for i in x), id_type(tokenizer), int(sizes.sum())), sizes
 
 
+# What Spark calls stores that the Arrow library knows by another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def store_uri(folder: str) -> str:
+    """A folder as the Arrow library names it."""
+    scheme, colon, rest = folder.partition(":")
+    return SCHEMES.get(scheme.lower(), scheme) + colon + rest if colon and "/" not in scheme else folder
+
+
 def filesystem(folder: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path or URI, from any machine that has it."""
-    return fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (fs.LocalFileSystem(), folder)
+    """The file system of a path or URI, from any machine that has it; ``hdfs`` needs its native library there."""
+    uri = store_uri(folder)
+    return fs.FileSystem.from_uri(uri) if ":" in uri.split("/")[0] else (fs.LocalFileSystem(), uri)
 
 
 def sequence_schema(kind: np.dtype, length: int) -> pa.Schema:
@@ -223,7 +234,8 @@ def write_token_files(
     ``tokenizer`` is the path of a tokenizers file; ``by_word`` may be set for one that
     drops white space. Null texts are empty; ``end_id`` is appended to every document.
     Keys are integers; null ones come first, equal ones in the order of their texts.
-    Repeated rows are written as often as they come. An empty table gives no files. Parts
+    Repeated rows are written as often as they come. A text of any length is one document,
+    its ids in as many sequences as they fill. An empty table gives no files. Parts
     are ranges of keys: part, file, documents, tokens and start, the ids in all parts
     before it. A task that is run again writes files of another name, and only those of
     the task that Spark accepts are listed. The manifest is stored in the folder too.

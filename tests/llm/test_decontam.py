@@ -104,7 +104,8 @@ def test_case_space_and_long_items(spark, docs):
     words = " ".join(f"w{i * i % 1013}" for i in range(900))
     benchmark = spark.createDataFrame([(1, passage), (2, words), (3, "too short"), (None, passage), (4, None)], "item_id long, text string")
     df = docs((1, "x " + passage.upper().replace("\n", " ") + " y"), (2, "a " + words[1500:3200] + " b"), (3, "too short"), (4, "It was the best of books"))
-    assert {d: set(i) for d, i in flagged(decontam.contamination(df, benchmark)).items()} == {1: {1}, 2: {2}}
+    # A part of a long item is not the item, and a short one is sought like any other.
+    assert {d: set(i) for d, i in flagged(decontam.contamination(df, benchmark)).items()} == {1: {1}, 3: {3}}
 
 
 def test_odd_rows_and_names(spark, docs):
@@ -182,3 +183,19 @@ def test_query_and_pipeline_seek_items_of_every_length(spark, docs, tmp_path):
     assert got[9][5000][0] <= 20 and got[9][5000][2] - got[9][5000][1] > 0.99 * len(long[5000]) and 5000 not in got.get(8, {})
     clean = corpus_pipeline.decontamination(spark, df, str(tmp_path))
     assert {r.doc_id for r in clean.collect()} == {i for i, _, _ in texts} - set(got)
+
+
+def test_every_item_is_sought_as_a_whole_by_default(spark, docs):
+    long = " ".join(f"term{i}" for i in range(400))  # over 1,000 characters
+    benchmark = spark.createDataFrame([(1, "who found it?"), (2, long), (3, " \n ")], "item_id long, text string")
+    df = docs((1, "so who found it? we ask"), (2, long[: len(long) // 2]), (3, f"before {long} after"), (4, "nothing"))
+    got = {r.doc_id: sorted(m.item for m in r.matches) for r in decontam.contamination(df, benchmark).collect()}
+    assert got == {1: [1], 2: [], 3: [2], 4: []}
+
+
+def test_very_long_texts(spark, docs):
+    item = "a question of some length about rivers and the towns on them"
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    df = docs((1, "x" * 2_000_000), (2, "word " * 200_000 + item + " word" * 1000), (3, "\n" * 500_000))
+    got = {r.doc_id: [m.item for m in r.matches] for r in decontam.contamination(df, benchmark).collect()}
+    assert got == {1: [], 2: [7], 3: []}

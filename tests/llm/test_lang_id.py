@@ -73,3 +73,38 @@ def test_nothing_to_learn_from(docs):
 def test_one_label(docs):
     rows = lang_id.identify_language(docs((1, "some text", "en"), (2, "other text"))).collect()
     assert {(r.lang_pred, r.lang_score) for r in rows} == {("en", 1.0)}
+
+
+def slow_scores(model, text):
+    """Label chances of a text: every filter at every position of every window, one at a time."""
+    step, widest = lang_id.WINDOW - max(lang_id.WIDTHS) + 1, max(lang_id.WIDTHS)
+    n = max(1, -(-(len(text) - widest + 1) // step))
+    total = np.zeros(len(model.labels))
+    for k in range(n):
+        seen = [*text[k * step : k * step + lang_id.WINDOW]]
+        seen += [0] * (lang_id.WINDOW - len(seen))
+        hidden = np.zeros(model.filters.shape[1])
+        for f in range(len(hidden)):
+            width = lang_id.WIDTHS[f // lang_id.FILTERS]
+            weights = model.filters[: width * lang_id.DIM, f].reshape(width, lang_id.DIM)
+            best = max(
+                sum(float(model.embed[seen[at + j]] @ weights[j]) for j in range(width)) for at in range(lang_id.WINDOW - widest + 1)
+            )
+            hidden[f] = max(0.0, best + float(model.bias[f]))
+        total += hidden @ model.head + model.head_bias
+    e = np.exp(total / n - (total / n).max())
+    return e / e.sum()
+
+
+def test_predictions_equal_a_position_by_position_network(docs, monkeypatch):
+    texts = {i: t for i, t in enumerate(["ab", "der Tag", "x" * 300, "größe und éléments " * 30, "a" * 252 + "bcd"])}
+    rng = np.random.default_rng(5)
+    model = lang_id.ByteCnn.fresh(["de", "en", "fr"], 3)
+    model.bias[:] = rng.standard_normal(len(model.bias)) * 0.3
+    model.head_bias[:] = rng.standard_normal(3) * 0.3
+    monkeypatch.setattr(lang_id, "train", lambda *_: model)
+    got = {r.doc_id: r for r in lang_id.identify_language(docs(*((i, t, "en") for i, t in texts.items()))).collect()}
+    for i, t in texts.items():
+        p = slow_scores(model, t.encode())
+        assert got[i].lang_pred == model.labels[int(p.argmax())]
+        assert abs(got[i].lang_score - p.max()) < 1e-4

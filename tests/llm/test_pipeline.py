@@ -5,7 +5,7 @@ import corpus_pipeline
 from ledgermill.llm import decontam
 from ledgermill.llm.common import documents, store
 from tests.conftest import SMALL
-from tests.llm.conftest import odd
+from tests.llm.conftest import odd, with_clashes
 from tests.llm.test_simhash import closure, slow_fingerprint
 
 
@@ -76,6 +76,19 @@ def test_every_stage_takes_odd_and_empty_tables(spark, docs):
             stage(spark, table, SMALL).collect()
 
 
+def test_stages_take_columns_of_names_they_use(spark, docs):
+    df = with_clashes(odd(docs))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, df, SMALL)
+        assert [c for c in out.columns if c not in ("shard", "slot")] == [c for c in df.columns if c not in ("shard", "slot")], name
+        out.collect()
+
+
+def test_mix_is_written_shard_after_shard(spark, steps):
+    plan = corpus_pipeline.mix(spark, steps[3], SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(shard" in plan and "Sort [shard" in plan
+
+
 def test_no_text_with_a_language_goes_for_its_score(spark, docs, monkeypatch):
     scored = lambda df, **_: df.withColumns({"lang_pred": F.col("source"), "lang_score": F.lit(0.05)})
     monkeypatch.setattr(corpus_pipeline.lang_id, "identify_language", scored)

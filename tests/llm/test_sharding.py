@@ -74,3 +74,46 @@ def test_empty_table(docs):
 def test_no_python_in_the_plan(spark):
     plan = placed(documents(spark, SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def xxhash64_long(value, seed):
+    import xxhash
+
+    return xxhash.xxh64_intdigest(value.to_bytes(8, "little", signed=True), seed)
+
+
+def xxhash64_int(value, seed):
+    import xxhash
+
+    return xxhash.xxh64_intdigest(value.to_bytes(4, "little", signed=True), seed)
+
+
+def slow_place(n, rows, seed):
+    """Where row n goes: the network step by step, again while the place is outside."""
+    import math
+
+    left = max(1, math.isqrt(max(0, rows - 1)) + 1)
+    right = max(1, -(-rows // left))
+    x = n
+    while True:
+        halves, sizes = [x // right, x % right], (left, right)
+        for k in range(sharding.ROUNDS):
+            own = k % 2
+            mixed = 42
+            for part, digest in ((halves[1 - own], xxhash64_long), (seed, xxhash64_int), (k, xxhash64_int)):
+                mixed = digest(part, mixed)
+            mixed -= (mixed >= 1 << 63) << 64
+            halves[own] = (halves[own] + mixed % sizes[own]) % sizes[own]
+        x = halves[0] * right + halves[1]
+        if x < rows:
+            return x
+
+
+@pytest.mark.parametrize("shards", [1, 3, 8])
+def test_shards_and_slots_by_hand(spark, shards):
+    df = documents(spark, SMALL)
+    ids = sorted(r.doc_id for r in df.select("doc_id").collect())
+    got = {r.doc_id: (r.shard, r.slot) for r in placed(df, shards).collect()}
+    places = [slow_place(n, len(ids), 11) for n in range(len(ids))]
+    assert sorted(places) == list(range(len(ids)))
+    assert got == {d: (p % shards, p // shards) for d, p in zip(ids, places)}

@@ -103,3 +103,14 @@ def test_files_of_failed_attempts_are_not_listed(spark, docs):
     with open(os.path.join(folder, "part-00000-0.arrow"), "w") as f:
         f.write("left by a lost task")
     assert tf.document_digests(spark, folder).count() == 2 == got.count()
+
+
+def test_stores_are_named_as_the_file_library_knows_them():
+    names = {"s3a://b/x": "s3://b/x", "S3N://b/x": "s3://b/x", "hdfs://h/x": "hdfs://h/x", "/a/b:c": "/a/b:c", "file:///a": "file:///a", "wasbs://c@a/x": "abfss://c@a/x"}
+    assert {n: tf.store_uri(n) for n in names} == names
+
+
+def test_long_texts_without_a_break(spark, docs, plain):
+    rows = [(1, "ab1" * 30_000), (2, "x\n" * 100_000), (3, None)]
+    _, _, found = written(spark, docs(*rows), by_word=True)
+    assert by_start(found) == brute(rows, plain)
