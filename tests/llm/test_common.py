@@ -46,7 +46,7 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
