@@ -377,3 +377,22 @@ def decode_pieces(encoded: DataFrame, path: str, *, key: str = "doc_id", ids: st
     slim = encoded.select(col(key).alias("key"), col(ids).alias("ids"))
     schema = slim.select("key", "ids", F.lit("").alias("decoded")).schema
     return slim.mapInArrow(run, schema).toDF(key, ids, "decoded")
+
+
+def round_trip(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", begin: bool = True, end: bool = True) -> DataFrame:
+    """(key, ids, decoded) of every row: ``decode_pieces`` of ``encode_pieces``, by one worker a task.
+
+    The ids are decoded where they were made, from the same packed form, instead of going
+    to a second worker. Defined as those two are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = piece_encoder(path)
+        for batch in slices(batches, "text"):
+            held = packed(*encoder.encode(text_bytes(batch.column("text")), begin, end))
+            texts = pa.array(decode(encoder.model, *unpacked(held)), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), held, texts], ["key", "ids", "decoded"])
+
+    slim = docs.select(col(key).alias("key"), col(text).alias("text"))
+    schema = slim.select("key", F.lit(b"").alias("ids"), F.lit("").alias("decoded")).schema
+    return slim.mapInArrow(run, schema).toDF(key, "ids", "decoded")

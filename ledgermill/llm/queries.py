@@ -108,9 +108,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to piece ids and decoded from them."""
-    path = public_tokenizers.path(PIECES)
-    encoded = piece_codec.encode_pieces(documents(spark, sf_dir), path)
-    return piece_codec.decode_pieces(encoded, path).select(
+    found = piece_codec.round_trip(documents(spark, sf_dir), public_tokenizers.path(PIECES))
+    return found.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )

@@ -123,3 +123,12 @@ def test_very_long_texts_without_a_break(docs, library):
 def test_empty_table(docs):
     encoded = piece_codec.encode_pieces(docs((1, "a")).limit(0), PATH)
     assert encoded.count() == 0 and piece_codec.decode_pieces(encoded, PATH).count() == 0
+    assert piece_codec.round_trip(docs((1, "a")).limit(0), PATH).count() == 0
+
+
+def test_round_trip_is_encoding_and_decoding(spark, docs):
+    df = with_clashes(odd(docs), "doc_id").withColumnRenamed("n", "decoded")
+    key = lambda d: sorted((r.doc_id is None, r.doc_id or 0, bytes(r.ids), r.decoded) for r in d.collect())
+    once = piece_codec.round_trip(df, PATH)
+    assert once.columns == ["doc_id", "ids", "decoded"]
+    assert key(once) == key(piece_codec.decode_pieces(piece_codec.encode_pieces(df, PATH), PATH))
