@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -238,18 +239,18 @@ def chunks(benchmark: DataFrame, item: str, text: str, rate: float, chunk_chars:
         yield [Index(items, rate, q) for q, items in held.items()]
 
 
-def scan(docs: DataFrame, indexes: list[Index], text: str, mark: str) -> DataFrame:
-    """Every row of ``docs`` with ``mark``: an array of its matches in the indexes."""
-    shared = docs.sparkSession.sparkContext.broadcast(indexes)
+def scan(docs: DataFrame, parts: list[Broadcast], text: str, mark: str) -> DataFrame:
+    """Every row of ``docs`` with ``mark``: an array of its matches in the indexes of all parts; texts are read once."""
     kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("item", "distance", "start", "end")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 1 << 21):
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             texts = [normalise(t) for t in batch.column(text).to_pylist()]
-            for own in shared.value:
-                for doc, item, edits, start, end in matches(own, texts):
-                    found[doc].append({"item": own.items[item][0], "distance": edits, "start": start, "end": end})
+            for shared in parts:
+                for own in shared.value:
+                    for doc, item, edits, start, end in matches(own, texts):
+                        found[doc].append({"item": own.items[item][0], "distance": edits, "start": start, "end": end})
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, mark])
 
     schema = docs.withColumn(mark, F.lit(None).cast("array<struct<item:long,distance:long,start:long,end:long>>")).schema
@@ -279,17 +280,15 @@ def contamination(
     a text of any length is searched as a whole; an empty table gives no rows, an empty
     benchmark leaves every array empty. Repeated rows stay; benchmark rows that repeat
     count once. A column of ``docs`` that is called ``mark`` is replaced. A benchmark larger
-    than ``chunk_chars`` is scanned in several passes.
+    than ``chunk_chars`` is sent in several parts; a worker holds all of them, about 40 bytes
+    a character, and goes through the texts once.
     """
     docs = docs.drop(mark)
-    nothing = F.array().cast("array<struct<item:long,distance:long,start:long,end:long>>")
-    parts = []
-    out = docs
-    for k, indexes in enumerate(chunks(benchmark, item, item_text, rate, chunk_chars)):
-        parts.append(free_name(out, f"matches_{k}"))
-        out = scan(out, indexes, text, parts[-1])
-    found = F.concat(nothing, *[F.col(p) for p in parts]) if parts else nothing
-    return out.select(*[col(c) for c in docs.columns], found.alias(mark))
+    context = docs.sparkSession.sparkContext
+    parts = [context.broadcast(indexes) for indexes in chunks(benchmark, item, item_text, rate, chunk_chars)]
+    if parts:
+        return scan(docs, parts, text, mark)
+    return docs.withColumn(mark, F.array().cast("array<struct<item:long,distance:long,start:long,end:long>>"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
