@@ -431,8 +431,7 @@ def _stored(m: Models, name: str, *loads: DataFrame, partition_by: str | None =
 
 def q_load_replace(m: Models) -> DataFrame:
     """The second load of a payments table is what remains."""
-    raw = m.stg("raw_payments").select("payment_id", "invoice_id", "payment_date", "amount")
-    return _stored(m, "payments", raw, m.fact_payments.select("payment_id", "payment_date", "amount", "payment_method"))
+    return _stored(m, "payments", m.stg("raw_payments"), m.fact_payments)
 
 
 def q_load_replace_simple(m: Models) -> DataFrame:
