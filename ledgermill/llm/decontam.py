@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import col, free_name, slices
+from ledgermill.llm.common import col, free_name, slices, store
 
 Q = 8  # characters of a q-gram; folded to a byte each, one fits a 64-bit word
 SHORTER = (8, 4, 2, 1)  # the longest of these for which the lemma says something is taken for an item
@@ -217,8 +217,8 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int
         yield doc, item, edits, start, end
 
 
-def chunks(benchmark: DataFrame, item: str, text: str, rate: float, chunk_chars: int) -> Iterator[list[Index]]:
-    """Indexes over benchmark items, together over about ``chunk_chars`` characters or one longer item.
+def chunks(benchmark: DataFrame, item: str, text: str, rate: float, chunk_chars: int) -> Iterator[tuple[int, list[Index]]]:
+    """Indexes over benchmark items with their characters, about ``chunk_chars`` together or one longer item.
 
     Rows come to the driver a partition at a time, so what is held and sent is bounded by
     the chunk and not by the benchmark.
@@ -231,30 +231,29 @@ def chunks(benchmark: DataFrame, item: str, text: str, rate: float, chunk_chars:
         if not t:
             continue
         if size + len(t) > chunk_chars and held:
-            yield [Index(items, rate, q) for q, items in held.items()]
+            yield size, [Index(items, rate, q) for q, items in held.items()]
             held, size = {}, 0
         held.setdefault(gram_size(len(t), rate), []).append((r["item"], t))
         size += len(t)
     if held:
-        yield [Index(items, rate, q) for q, items in held.items()]
+        yield size, [Index(items, rate, q) for q, items in held.items()]
 
 
 def scan(docs: DataFrame, parts: list[Broadcast], text: str, mark: str) -> DataFrame:
-    """Every row of ``docs`` with ``mark``: an array of its matches in the indexes of all parts; texts are read once."""
-    kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("item", "distance", "start", "end")]))
+    """Every row of ``docs`` with its matches in the indexes of all parts added to its array ``mark``; texts are read once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 1 << 21):
-            found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+            at = batch.schema.get_field_index(mark)
+            found: list[list[dict]] = batch.column(at).to_pylist()
             texts = [normalise(t) for t in batch.column(text).to_pylist()]
             for shared in parts:
                 for own in shared.value:
                     for doc, item, edits, start, end in matches(own, texts):
                         found[doc].append({"item": own.items[item][0], "distance": edits, "start": start, "end": end})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, mark])
+            yield batch.set_column(at, mark, pa.array(found, batch.schema.types[at]))
 
-    schema = docs.withColumn(mark, F.lit(None).cast("array<struct<item:long,distance:long,start:long,end:long>>")).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def contamination(
@@ -266,6 +265,7 @@ def contamination(
     item_text: str = "text",
     rate: float = 0.1,
     chunk_chars: int = 1 << 20,
+    held_chars: int = 1 << 22,
     mark: str = "matches",
 ) -> DataFrame:
     """``docs`` with ``mark``, an array of (item, distance, start, end): benchmark items that the text holds.
@@ -279,16 +279,25 @@ def contamination(
     space is sought, by this one rule at every length. A null or empty text holds nothing,
     a text of any length is searched as a whole; an empty table gives no rows, an empty
     benchmark leaves every array empty. Repeated rows stay; benchmark rows that repeat
-    count once. A column of ``docs`` that is called ``mark`` is replaced. A benchmark larger
-    than ``chunk_chars`` is sent in several parts; a worker holds all of them, about 40 bytes
-    a character, and goes through the texts once.
+    count once. A column of ``docs`` that is called ``mark`` is replaced.
+
+    A benchmark is sent in parts of ``chunk_chars`` characters. Workers hold parts of about
+    ``held_chars`` together (and at least one item), at some 40 bytes a character. A larger
+    benchmark takes several passes over the texts; rows are written between them, so that
+    neither the driver nor a worker holds more than the parts of one pass.
     """
-    docs = docs.drop(mark)
+    found = docs.drop(mark).withColumn(mark, F.expr("CAST(array() AS array<struct<item:bigint,distance:bigint,start:bigint,end:bigint>>)"))
     context = docs.sparkSession.sparkContext
-    parts = [context.broadcast(indexes) for indexes in chunks(benchmark, item, item_text, rate, chunk_chars)]
-    if parts:
-        return scan(docs, parts, text, mark)
-    return docs.withColumn(mark, F.array().cast("array<struct<item:long,distance:long,start:long,end:long>>"))
+    parts, held = [], 0
+    for size, indexes in chunks(benchmark, item, item_text, rate, chunk_chars):
+        if parts and held + size > held_chars:
+            found = store(scan(found, parts, text, mark), "decontam_pass")
+            for part in parts:
+                part.destroy()  # what it was for is written
+            parts, held = [], 0
+        parts.append(context.broadcast(indexes))
+        held += size
+    return scan(found, parts, text, mark) if parts else found
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

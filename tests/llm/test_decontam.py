@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -97,6 +98,23 @@ def test_several_passes_give_the_same(spark):
     docs, benchmark = documents(spark, SMALL), spark.read.parquet(f"{SMALL}/benchmark.parquet")
     once = flagged(decontam.contamination(docs, benchmark))
     assert once == flagged(decontam.contamination(docs, benchmark, chunk_chars=2000))
+    assert once == flagged(decontam.contamination(docs, benchmark, chunk_chars=2000, held_chars=5000))
+
+
+def test_what_workers_hold_is_bounded(spark, docs, monkeypatch):
+    items = [f"ship {zlib.crc32(b'%d' % n)} of {zlib.crc32(b'x%d' % n)} tons" for n in range(60)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    df = docs((1, items[0]), (2, "x " + items[59] + " y"), (3, items[7] + " and " + items[33]), (4, None), (5, "nothing of it"))
+    passes, whole = [], decontam.scan
+
+    def counted(docs, parts, text, mark):
+        passes.append(sum(len(i[1]) for p in parts for own in p.value for i in own.items))
+        return whole(docs, parts, text, mark)
+
+    monkeypatch.setattr(decontam, "scan", counted)
+    got = flagged(decontam.contamination(df, benchmark, chunk_chars=150, held_chars=600))
+    assert {d: set(i) for d, i in got.items()} == {1: {0}, 2: {59}, 3: {7, 33}}
+    assert len(passes) > 3 and max(passes) <= 600 and sum(passes) == sum(map(len, items))
 
 
 def test_case_space_and_long_items(spark, docs):
