@@ -102,6 +102,16 @@ def test_bitmaps_count_what_distinct_counts(spark):
         assert as_list(bitmaps.roll_up(rollup, by, "n", ["v"])) == as_list(want)
 
 
+def test_bitmaps_are_hashed_and_small_where_groups_are_sparse(spark):
+    df = spark.range(2_000).selectExpr("id % 700 AS a", "CASE WHEN id % 50 > 0 THEN id * 97 % 1500 END AS who", "id AS v")
+    rollup = bitmaps.bitmap_rollup(df, ["a"], dense_ids(df, "who", bitmaps.ID), "who", ["v"])
+    # A bitmap of thousands of bytes would be sorted by its group, and would be most of what is shuffled.
+    assert "SortAggregate" not in plan(rollup) and "SortAggregate" not in plan(bitmaps.roll_up(rollup, ["a"], "n", ["v"]))
+    assert dict(rollup.dtypes)[bitmaps.BITS] == "bigint" and rollup.count() <= df.count()
+    want = df.groupBy("a").agg(F.countDistinct("who").alias("n"), F.sum("v").alias("v"))
+    assert as_list(bitmaps.roll_up(rollup, ["a"], "n", ["v"])) == as_list(want)
+
+
 def test_serving_queries_read_the_bitmaps_only(models):
     text = plan(serving.revenue_by_rep_rolled(models.revenue_bitmaps))
     assert "bitmap" in text and text.count("FileScan") == 1 and "customer_id" not in text
